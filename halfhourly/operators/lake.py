@@ -199,26 +199,36 @@ def expire_partitions(spark: SparkSession, path: str, as_of, days: int = HOT_RET
     return drop_partitions(spark, path, [d for d in list_days(spark, path) if d < cutoff])
 
 
-def merge_into_days(spark: SparkSession, path: str, table: str, incoming: DataFrame, merge_fn) -> None:
-    """Upsert a batch into a day-partitioned table, touching only its days.
+def merge_into_days(spark: SparkSession, path: str, incoming: DataFrame, merge_fn,
+                    schema: T.StructType) -> list[date]:
+    """Upsert a batch into a day-partitioned hot table, touching only its days.
 
     ``merge_fn(current, incoming) -> merged`` is one of the ``merge.upsert_*``
-    functions.  The merged frame is checkpointed (shared folder) before the
-    overwrite so the write never reads the files it replaces.
+    functions; ``schema`` is the table schema (without the day column).  Only
+    the partitions of the days present in the batch are read (the list of
+    days is tiny: a batch spans hours to days).  The merged frame is cut from
+    its lineage with a reliable ``checkpoint()`` before the overwrite, so the
+    write never reads the files it replaces.  Returns the rewritten days.
     """
-    days = [r[0] for r in incoming.select(F.to_date("period_start_utc")).distinct().collect()]
+    days = sorted(r[0] for r in incoming.select(F.to_date("period_start_utc")).distinct().collect())
     if not days:
-        return
-    existing = set(list_days(spark, path))
-    schema = incoming.schema
-    if existing & set(days):
-        cur = spark.read.parquet(path).filter(F.col(DAY).isin(*days)).drop(DAY)
-        cur = cur.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields if f.name in cur.columns])
+        return []
+    existing = set(list_days(spark, path)) & set(days)
+    if existing:
+        full = T.StructType(list(schema.fields) + [T.StructField(DAY, T.DateType(), True)])
+        cur = (spark.read.schema(full).parquet(path).filter(F.col(DAY).isin(*sorted(existing)))
+               .drop(DAY))
     else:
-        cur = spark.createDataFrame([], cur_schema(incoming))
+        cur = spark.createDataFrame([], schema)
     merged = with_day(merge_fn(cur, incoming)).checkpoint(eager=True)
     overwrite_days(merged, path, days)
+    return days
 
 
-def cur_schema(incoming: DataFrame) -> T.StructType:
-    return T.StructType([f for f in incoming.schema.fields if not f.name.startswith("_")])
+def read_table(spark: SparkSession, path: str, schema: T.StructType, period_from=None,
+               period_to=None) -> DataFrame:
+    """Read a day-partitioned hot table (empty frame if it does not exist yet)."""
+    if not list_days(spark, path):
+        return spark.createDataFrame([], schema)
+    full = T.StructType(list(schema.fields) + [T.StructField(DAY, T.DateType(), True)])
+    return spark.read.schema(full).parquet(path).filter(day_bounds(period_from, period_to)).drop(DAY)

@@ -82,8 +82,9 @@ def _stamp(current: DataFrame, incoming: DataFrame, incoming_seq: Column,
            now) -> DataFrame:
     """Union of stored rows (sequence -1, oldest) and a batch stamped ``now``."""
     cur = current.withColumn(SEQ, F.lit(-1).cast("decimal(38,0)"))
+    now_col = now if isinstance(now, Column) else ts_lit(now)
     inc = (incoming.withColumn(SEQ, incoming_seq.cast("decimal(38,0)"))
-           .withColumn("ingested_at_utc", ts_lit(now)))
+           .withColumn("ingested_at_utc", now_col))
     cols = list(current.columns) + [SEQ]
     return cur.select(*cols).unionByName(inc.select(*cols))
 

@@ -15,6 +15,12 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on measured sizes: no static (estimate-based) broadcast;
+    # AQE may still switch a join to broadcast from the actual size of a
+    # finished shuffle stage.  Explicit hints are used only for inputs whose
+    # size is bounded by construction or checked (quality.broadcast_if_small).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 

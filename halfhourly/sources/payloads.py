@@ -78,7 +78,8 @@ def parse_national(payloads: DataFrame) -> DataFrame:
         F.col("d.intensity.forecast").cast("int").alias("forecast_gco2_per_kwh"),
         F.col("d.intensity.actual").cast("int").alias("actual_gco2_per_kwh"),
         F.col("d.intensity.index").alias("intensity_index"),
-        _seq(F.col("received_at"), F.col("i")).alias("_seq"))
+        _seq(F.col("received_at"), F.col("i")).alias("_seq"),
+        F.col("received_at").alias("_received_at"))
 
 
 def parse_regional(payloads: DataFrame) -> DataFrame:
@@ -94,7 +95,8 @@ def parse_regional(payloads: DataFrame) -> DataFrame:
         F.col("r.intensity.forecast").cast("int").alias("forecast_gco2_per_kwh"),
         F.lit(None).cast("int").alias("actual_gco2_per_kwh"),
         F.col("r.intensity.index").alias("intensity_index"),
-        _seq(F.col("received_at"), F.col("i"), F.col("j")).alias("_seq"))
+        _seq(F.col("received_at"), F.col("i"), F.col("j")).alias("_seq"),
+        F.col("received_at").alias("_received_at"))
 
 
 def parse_generation_mix(payloads: DataFrame) -> DataFrame:
@@ -108,7 +110,8 @@ def parse_generation_mix(payloads: DataFrame) -> DataFrame:
         *[F.col(f"r.{w}").cast("double").alias(c) for w, c in MIX_WIRE_FUELS],
         F.col("r.GENERATION").cast("double").alias("total_generation_mw"),
         F.col("r.CARBON_INTENSITY").cast("double").alias("neso_carbon_intensity_gco2_per_kwh"),
-        _seq(F.col("received_at"), F.col("i")).alias("_seq"))
+        _seq(F.col("received_at"), F.col("i")).alias("_seq"),
+        F.col("received_at").alias("_received_at"))
 
 
 def reject_unsuccessful(payloads: DataFrame) -> DataFrame:
@@ -130,7 +133,8 @@ def parse_prices(payloads: DataFrame, dim: DataFrame, code_col: str = "tariff_co
         parse_iso_utc(F.col("r.valid_to")).alias("period_end_utc"),
         F.col("r.value_inc_vat").alias("price_pence_per_kwh_inc_vat"),
         F.col("r.value_exc_vat").alias("price_pence_per_kwh_exc_vat"),
-        _seq(F.col("received_at"), F.col("i")).alias("_seq"))
+        _seq(F.col("received_at"), F.col("i")).alias("_seq"),
+        F.col("received_at").alias("_received_at"))
 
 
 def tariff_code_from_path(file: Column) -> Column:
