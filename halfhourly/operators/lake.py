@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,17 +96,33 @@ def list_days(spark: SparkSession, path: str) -> list[date]:
     return sorted(out)
 
 
-def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> None:
+def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> dict[date, int]:
     """Replace exactly ``days`` of the table at ``path`` with the rows of
-    ``df`` for those days; a day without rows ends up empty."""
+    ``df`` for those days; a day without rows ends up empty.  Returns rows
+    written per day.
+
+    The per-day row counts are observed during the write itself (one
+    ``count_if`` per requested day), so the input is computed once; the
+    days that received no rows are then deleted explicitly.
+    """
     spark = df.sparkSession
     days = [_as_date(d) for d in days]
-    part = df.filter(F.col(DAY).isin(*days))
-    present = {r[0] for r in part.select(DAY).distinct().collect()}  # at most len(days) rows
-    if present:
-        (part.repartition(DAY).write.mode("overwrite").partitionBy(DAY)
-         .option("partitionOverwriteMode", "dynamic").parquet(path))
-    drop_partitions(spark, path, [d for d in days if d not in present])
+    obs = Observation(f"days_{abs(hash((path, tuple(days))))}")
+    selected = df.filter(F.col(DAY).isin(*days))
+    per_day = [F.count_if(F.col(DAY) == F.lit(d)).alias(f"d{i}") for i, d in enumerate(days)]
+    part = selected.observe(obs, *per_day)
+    # rebalance: cluster by day but let AQE split a large day over several
+    # tasks/files and merge small ones (a plain repartition would put each
+    # day in exactly one task).
+    (part.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY)
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    try:
+        metrics = obs.get
+    except Exception:  # noqa: BLE001 - an empty input plan is pruned with its metrics node
+        metrics = selected.agg(*per_day).first().asDict()
+    written = {d: int(metrics.get(f"d{i}") or 0) for i, d in enumerate(days)}
+    drop_partitions(spark, path, [d for d, n in written.items() if n == 0])
+    return written
 
 
 def archive_days(as_of, lookback: int = ARCHIVE_LOOKBACK_DAYS) -> list[date]:
@@ -232,3 +248,25 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, period_from
         return spark.createDataFrame([], schema)
     full = T.StructType(list(schema.fields) + [T.StructField(DAY, T.DateType(), True)])
     return spark.read.schema(full).parquet(path).filter(day_bounds(period_from, period_to)).drop(DAY)
+
+
+def archive_tables(spark: SparkSession, state_root: str, lake_root: str, as_of,
+                   lookback: int = ARCHIVE_LOOKBACK_DAYS) -> DataFrame:
+    """Archive from the day-partitioned hot tables: only the ``lookback`` days
+    are read (partition pruning), then rewritten in the lake."""
+    from halfhourly.schemas import LAKE_TABLES
+    days = archive_days(as_of, lookback)
+    lo = datetime.combine(days[0], datetime.min.time())
+    hi = datetime.combine(days[-1] + timedelta(days=1), datetime.min.time())
+    tables = {name: read_table(spark, f"{state_root}/{name}", schema, lo, hi)
+              for name, schema in LAKE_TABLES.items()}
+    return archive(tables, lake_root, as_of, lookback)
+
+
+def backfill(rows: DataFrame, lake_root: str, table: str = "carbon_intensity") -> dict[date, int]:
+    """Load history rows (e.g. parsed national payloads) straight into the
+    lake, bypassing the hot table.  Every day present is overwritten, so the
+    backfill can be re-run without duplicating rows."""
+    lake_rows = to_lake(rows.drop(*[c for c in rows.columns if c.startswith("_")]), table)
+    days = sorted(r[0] for r in lake_rows.select(DAY).distinct().collect())  # one row per day
+    return overwrite_days(lake_rows, f"{lake_root}/{table}", days) if days else {}

@@ -327,6 +327,16 @@ def q_latest_generation_rows(spark, sf_dir):
     return latest_n(Tables(spark, sf_dir).mix_wide(), LATEST_N)
 
 
+def q_price_with_region(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reads.with_region(t.price().select("region_id", "period_start_utc",
+                                              "price_pence_per_kwh_inc_vat"), t.dim())
+
+
+def q_dq_check_summary(spark, sf_dir):
+    return quality.check_summary(q_dq_not_null(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_slots_24h": q_best_slots_24h,
     "cheapest_top3": q_cheapest_top3,
@@ -373,6 +383,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rows_per_day": q_rows_per_day,
     "json_props_contract": q_json_props_contract,
     "latest_generation_rows": q_latest_generation_rows,
+    "price_with_region": q_price_with_region,
+    "dq_check_summary": q_dq_check_summary,
 }
 
 
@@ -747,8 +759,16 @@ FROM (SELECT event_id,
              END AS reason
       FROM events)""",
     "latest_generation_rows": _with(f"SELECT * FROM mix ORDER BY period_start_utc DESC LIMIT {LATEST_N}"),
+    "price_with_region": _with(
+        "SELECT p.region_id, p.period_start_utc, p.price_pence_per_kwh_inc_vat, d.canonical_code, d.slug, "
+        "d.octopus_code FROM price p JOIN dim d ON d.region_id = p.region_id"),
 }
 
+ORACLE["dq_check_summary"] = (
+    ORACLE["dq_not_null"].replace("WITH ", "WITH report AS (WITH ", 1)
+    + ")\nSELECT CASE WHEN violations = 0 THEN 'PASS' ELSE 'ERROR' END AS status, "
+      "CAST(count(*) AS BIGINT) AS checks FROM report GROUP BY 1")
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

@@ -77,6 +77,18 @@ def region_by_code(dim: DataFrame, code: str) -> DataFrame:
     return dim.filter(F.col("canonical_code") == F.upper(F.lit(code))).select(*REGION_COLS)
 
 
+def with_region(df: DataFrame, dim: DataFrame, code_col: str | None = None) -> DataFrame:
+    """Attach region codes/slug to fact rows: by ``region_id`` or, when
+    ``code_col`` is given, by a source code (tariff letter).  The dimension
+    is broadcast only after its size is checked."""
+    from halfhourly.operators.quality import broadcast_if_small
+    d = dim.select("region_id", "canonical_code", "slug", "octopus_code")
+    if code_col is None:
+        return df.join(broadcast_if_small(d), "region_id", "inner")
+    d = d.withColumnRenamed("octopus_code", code_col)
+    return df.join(broadcast_if_small(d), code_col, "inner")
+
+
 def regions_with_code(dim: DataFrame) -> DataFrame:
     """Regions that carry a tariff letter, ordered by id."""
     return (dim.filter(F.col("octopus_code").isNotNull())
