@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halfhourly.functions.columns import (
-    band_class, display_value, is_forecast, plus_hours, ts_lit,
+    band_class, band_code, band_from_code, display_value, is_forecast, plus_hours, ts_lit,
 )
 from halfhourly.schemas import (
     DEFAULT_PRICE_REGION_ID, FIRST_DNO_REGION_ID, LAST_DNO_REGION_ID, MAX_RANGE_DAYS,
@@ -100,9 +100,21 @@ def regions_with_code(dim: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def latest_per_region(df: DataFrame, cols: list[str], order_col: str = "period_start_utc") -> DataFrame:
-    """Newest row per region by ``order_col`` (unique per region)."""
-    packed = F.max_by(F.struct(*[c for c in cols if c != "region_id"]), F.col(order_col))
-    return df.groupBy("region_id").agg(packed.alias("_r")).select("region_id", "_r.*")
+    """Newest row per region by ``order_col`` (unique per region).
+
+    One ``max_by`` per column so every buffer is fixed-width (hash
+    aggregation, partial before the shuffle); the band travels as its code.
+    """
+    order = F.col(order_col)
+    aggs = []
+    for c in cols:
+        if c == "region_id":
+            continue
+        if c == "intensity_index":
+            aggs.append(band_from_code(F.max_by(band_code(F.col(c)), order)).alias(c))
+        else:
+            aggs.append(F.max_by(F.col(c), order).alias(c))
+    return df.groupBy("region_id").agg(*aggs).select(*cols)
 
 
 def carbon_current(hh: DataFrame, region_id: int | None = None) -> DataFrame:
