@@ -11,9 +11,10 @@ against a single orderable sequence column:
 
 ``max_by`` is a declarative aggregate, so Spark combines map-side before the
 shuffle: a key holding a third of all rows is reduced to one buffer per task
-before anything crosses the network.  With fixed-width value and sequence
-types the plan is a ``HashAggregate``; strings from a closed set (the band)
-are carried as small integer codes through the reduction for that reason.
+before anything crosses the network.  The sequence is ``struct(t, n)``
+(instant, tiebreak); all "newest" columns travel in ONE struct so each row
+costs one ordering comparison for them (see ``functions.sequence_of`` for
+the measurement behind the struct ordering).
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from halfhourly.functions.columns import band_code, band_from_code, sequence_of, ts_lit
+from halfhourly.functions.columns import oldest_sequence, sequence_of, ts_lit
 from halfhourly.schemas import CARBON_KEY, PRICE_KEY
 
 SEQ = "_seq"
@@ -33,24 +34,18 @@ PRICE_VALUES = ["period_end_utc", "price_pence_per_kwh_inc_vat", "price_pence_pe
 
 
 def reduce_newest(rows: DataFrame, keys: Sequence[str], seq: Column | str,
-                  newest: Sequence[str], sticky: Sequence[str] = (),
-                  carry: Sequence[str] = ()) -> DataFrame:
-    """One row per key: newest value of ``newest`` columns, newest non-NULL of
-    ``sticky`` columns.  ``carry`` columns are reduced like ``newest`` and the
-    sequence itself is kept as ``_seq`` (max) so reductions compose."""
+                  newest: Sequence[str], sticky: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the newest row's ``newest`` columns, the newest
+    non-NULL value of each ``sticky`` column, and the newest sequence as
+    ``_seq`` so reductions compose."""
     seq = F.col(seq) if isinstance(seq, str) else seq
-    aggs = [F.max_by(F.col(c), seq).alias(c) for c in list(newest) + list(carry)]
+    aggs = [F.max_by(F.struct(*[F.col(c) for c in newest]), seq).alias("_n")]
     aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), seq)).alias(c) for c in sticky]
     aggs.append(F.max(seq).alias(SEQ))
-    return rows.groupBy(*keys).agg(*aggs)
+    out = rows.groupBy(*keys).agg(*aggs)
+    return out.select(*keys, *[F.col(f"_n.{c}").alias(c) for c in newest], *sticky, SEQ)
 
 
-def _encode_band(df: DataFrame) -> DataFrame:
-    return df.withColumn("intensity_index", band_code(F.col("intensity_index")))
-
-
-def _decode_band(df: DataFrame) -> DataFrame:
-    return df.withColumn("intensity_index", band_from_code(F.col("intensity_index")))
 
 
 def carbon_from_log(log: DataFrame, seq: Column | None = None) -> DataFrame:
@@ -60,11 +55,11 @@ def carbon_from_log(log: DataFrame, seq: Column | None = None) -> DataFrame:
     ``event_id`` tiebreak; order is ``(ingested_at_utc, event_id)``.
     """
     seq = seq if seq is not None else sequence_of(F.col("ingested_at_utc"), F.col("event_id"))
-    enc = _encode_band(log).withColumn(SEQ, seq)
+    enc = log.withColumn(SEQ, seq)
     red = reduce_newest(enc, CARBON_KEY, SEQ,
                         newest=CARBON_VALUES + ["ingested_at_utc"],
                         sticky=["actual_gco2_per_kwh"])
-    return _decode_band(red).select(
+    return red.select(
         "region_id", "period_start_utc", "period_end_utc", "forecast_gco2_per_kwh",
         "actual_gco2_per_kwh", "intensity_index", "ingested_at_utc")
 
@@ -81,9 +76,9 @@ def price_from_log(log: DataFrame, seq: Column | None = None) -> DataFrame:
 def _stamp(current: DataFrame, incoming: DataFrame, incoming_seq: Column,
            now) -> DataFrame:
     """Union of stored rows (sequence -1, oldest) and a batch stamped ``now``."""
-    cur = current.withColumn(SEQ, F.lit(-1).cast("decimal(38,0)"))
+    cur = current.withColumn(SEQ, oldest_sequence())
     now_col = now if isinstance(now, Column) else ts_lit(now)
-    inc = (incoming.withColumn(SEQ, incoming_seq.cast("decimal(38,0)"))
+    inc = (incoming.withColumn(SEQ, incoming_seq)
            .withColumn("ingested_at_utc", now_col))
     cols = list(current.columns) + [SEQ]
     return cur.select(*cols).unionByName(inc.select(*cols))
@@ -97,18 +92,18 @@ def upsert_carbon(current: DataFrame, incoming: DataFrame, now, incoming_seq: Co
     ``incoming_seq`` orders the batch (list order, i.e. file + position); it
     must be non-negative.
     """
-    u = _encode_band(_stamp(current, incoming, incoming_seq, now))
+    u = _stamp(current, incoming, incoming_seq, now)
     red = reduce_newest(u, CARBON_KEY, SEQ, newest=CARBON_VALUES + ["ingested_at_utc"],
                         sticky=["actual_gco2_per_kwh"])
-    return _decode_band(red).select(*current.columns)
+    return red.select(*current.columns)
 
 
 def upsert_replace(current: DataFrame, incoming: DataFrame, keys: Sequence[str], now,
                    incoming_seq: Column) -> DataFrame:
     """Generic replace-on-conflict (generation mix, price, region dimension)."""
     u = _stamp(current, incoming, incoming_seq, now) if "ingested_at_utc" in current.columns \
-        else current.withColumn(SEQ, F.lit(-1).cast("decimal(38,0)")).unionByName(
-            incoming.withColumn(SEQ, incoming_seq.cast("decimal(38,0)")).select(*current.columns, SEQ))
+        else current.withColumn(SEQ, oldest_sequence()).unionByName(
+            incoming.withColumn(SEQ, incoming_seq).select(*current.columns, SEQ))
     values = [c for c in current.columns if c not in keys]
     return reduce_newest(u, keys, SEQ, newest=values).select(*current.columns)
 
@@ -140,8 +135,8 @@ def compact_log(log: DataFrame, as_of, keep_days: int) -> DataFrame:
     old = log.filter(F.col("ingested_at_utc") < cutoff)
     recent = log.filter(F.col("ingested_at_utc") >= cutoff)
     seq = sequence_of(F.col("ingested_at_utc"), F.col("event_id"))
-    merged = reduce_newest(_encode_band(old).withColumn(SEQ, seq), CARBON_KEY, SEQ,
+    merged = reduce_newest(old.withColumn(SEQ, seq), CARBON_KEY, SEQ,
                            newest=CARBON_VALUES + ["ingested_at_utc", "event_id"],
                            sticky=["actual_gco2_per_kwh"])
-    merged = _decode_band(merged).select(*log.columns)
+    merged = merged.select(*log.columns)
     return merged.unionByName(recent.select(*log.columns))

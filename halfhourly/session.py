@@ -38,6 +38,7 @@ def get_spark(master: str | None = None, app: str = "halfhourly",
         builder = builder.master(master)
     conf = dict(REQUIRED_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.execution.arrow.pyspark.enabled"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

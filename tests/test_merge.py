@@ -25,7 +25,7 @@ def _batch(spark, rows):
              f, a, b, p) for r, s, f, a, b, p in rows]
     df = spark.createDataFrame(data, "region_id int, period_start_utc timestamp_ntz, period_end_utc timestamp_ntz, "
                                      "forecast_gco2_per_kwh int, actual_gco2_per_kwh int, intensity_index string, pos long")
-    return df.withColumn("_s", F.col("pos").cast("decimal(38,0)")).drop("pos")
+    return df.withColumn("_s", sequence_of(F.lit(T0).cast("timestamp_ntz"), F.col("pos"))).drop("pos")
 
 
 def _empty(spark):
@@ -77,7 +77,9 @@ def test_compaction_and_time_travel_preserve_state(spark):
     assert early.filter(F.col("ingested_at_utc") > F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")).count() == 0
 
 
-def test_merge_plan_is_hash_aggregate(spark):
+def test_merge_combines_before_the_shuffle(spark):
+    """Partial max_by runs map-side, below the only exchange of the merge."""
     log = adapters.carbon_log(spark.read.parquet(f"{SF}/events.parquet"))
     plan = merge.carbon_from_log(log)._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("partial_max_by") > plan.index("Exchange hashpartitioning")
