@@ -191,5 +191,9 @@ def ingest_batch(spark: SparkSession, landing_root: str, state_root: str, quaran
 def deduplicated_view(stream: DataFrame, keys=CARBON_KEY, watermark: str = "2 days") -> DataFrame:
     """Streaming de-duplication of parsed rows by natural key, keeping state
     only for a 2-day watermark (the archive's late-data horizon)."""
-    return (stream.withWatermark("period_start_utc", watermark)
-            .dropDuplicatesWithinWatermark(list(keys)))
+    # Event-time watermarks need TIMESTAMP (not _NTZ); with the session zone
+    # pinned to UTC the cast keeps the instant.
+    return (stream.withColumn("_event_time", F.col("period_start_utc").cast("timestamp"))
+            .withWatermark("_event_time", watermark)
+            .dropDuplicatesWithinWatermark(list(keys))
+            .drop("_event_time"))

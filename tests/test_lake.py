@@ -77,3 +77,18 @@ def test_ensure_tables(spark, tmpdir_path):
     db = "lake_" + os.path.basename(tmpdir_path).replace("-", "_")
     assert lake.ensure_tables(spark, root, db) == 3
     assert lake.ensure_tables(spark, root, db) == 0
+
+
+def test_lake_schemas():
+    """Three archive tables, no ingest metadata, 32-bit floats, the required set."""
+    from halfhourly.schemas import LAKE_TABLES, lake_schema
+    assert sorted(LAKE_TABLES) == ["agile_price", "carbon_intensity", "generation_mix"]
+    carbon = lake_schema("carbon_intensity")
+    assert [f.name for f in carbon.fields if f.nullable] == ["actual_gco2_per_kwh"]
+    assert "ingested_at_utc" not in carbon.fieldNames()
+    mix = lake_schema("generation_mix")
+    assert {f.dataType.simpleString() for f in mix.fields if f.name.endswith("_mw")} == {"float"}
+    assert all(not f.nullable for f in lake_schema("agile_price").fields)
+    for name in LAKE_TABLES:
+        names = lake_schema(name).fieldNames()
+        assert len(names) == len(set(names)) and names[0] in ("region_id", "period_start_utc")

@@ -61,3 +61,18 @@ def test_stream_equals_batch(spark, tmpdir_path):
     for q in qs:
         q.awaitTermination(180)
     assert _rows(spark, os.path.join(s_state, "carbon_intensity"), CARBON_SCHEMA) == s_carbon
+
+
+def test_deduplicated_view_keeps_one_row_per_key(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    from halfhourly.sources import adapters
+    rows = adapters.carbon_log(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    src = os.path.join(tmpdir_path, "parsed")
+    rows.write.parquet(src)
+    stream = spark.readStream.schema(rows.schema).parquet(src)
+    q = (ingest.deduplicated_view(stream).writeStream.format("memory").queryName("dedup_view")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    got = spark.sql("SELECT region_id, period_start_utc FROM dedup_view")
+    assert got.count() == rows.select("region_id", "period_start_utc").distinct().count()
+    assert got.groupBy("region_id", "period_start_utc").count().filter(F.col("count") > 1).count() == 0
