@@ -60,9 +60,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._reads: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return adapters.table(self.spark, self.sf_dir, name)
+        """One read (file listing + footer) per table per query."""
+        if name not in self._reads:
+            self._reads[name] = adapters.table(self.spark, self.sf_dir, name)
+        return self._reads[name]
 
     @property
     def events(self) -> DataFrame:

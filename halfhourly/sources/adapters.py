@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halfhourly.functions.columns import (
-    band_of_forecast, half_hour, half_hour_end, plus_minutes, slugify, ts_lit,
+    band_of_forecast, half_hour, plus_minutes, slugify, ts_lit,
 )
 from halfhourly.operators.merge import carbon_from_log, price_from_log
 from halfhourly.schemas import FIRST_DNO_REGION_ID, FUELS, LAST_DNO_REGION_ID
@@ -44,37 +44,46 @@ def bound_periods(df: DataFrame, ts: str, period: str, period_from=None, period_
     implies ``ts < hi + 30 min``; those two go to the scan, the exact test
     on the period follows.
     """
+    cond = None
     if period_from is not None:
-        df = df.filter(F.col(ts) >= ts_lit(period_from))
+        cond = F.col(ts) >= ts_lit(period_from)
     if period_to is not None:
-        df = df.filter(F.col(ts) < plus_minutes(ts_lit(period_to), 30))
-    return df
+        upper = F.col(ts) < plus_minutes(ts_lit(period_to), 30)
+        cond = upper if cond is None else cond & upper
+    return df if cond is None else df.filter(cond)
 
 
 def _exact(df: DataFrame, period: str, period_from=None, period_to=None) -> DataFrame:
+    cond = None
     if period_from is not None:
-        df = df.filter(F.col(period) >= ts_lit(period_from))
+        cond = F.col(period) >= ts_lit(period_from)
     if period_to is not None:
-        df = df.filter(F.col(period) < ts_lit(period_to))
-    return df
+        upper = F.col(period) < ts_lit(period_to)
+        cond = upper if cond is None else cond & upper
+    return df if cond is None else df.filter(cond)
+
+
+def _bucket():
+    """Start and end of the half-hour of ``ts`` from ONE tumbling window."""
+    w = F.window("ts", "30 minutes")
+    return w.start.alias("period_start_utc"), w.end.alias("period_end_utc")
 
 
 def carbon_log(events: DataFrame, period_from=None, period_to=None) -> DataFrame:
     """Observation log: carbon columns + ``ingested_at_utc`` + ``event_id``."""
     ev = bound_periods(events, "ts", "p", period_from, period_to)
     forecast = F.floor(F.col("value")).cast("int")
+    start, end = _bucket()
     obs = ev.select(
         (F.col("user_id") % N_REGIONS).cast("int").alias("region_id"),
-        half_hour("ts").alias("period_start_utc"),
+        start, end,
         forecast.alias("forecast_gco2_per_kwh"),
         F.when(F.col("event_type") == "purchase",
                F.floor(F.col("value") * 1.1).cast("int")).alias("actual_gco2_per_kwh"),
         band_of_forecast(forecast).alias("intensity_index"),
         F.col("ts").alias("ingested_at_utc"),
         F.col("event_id"),
-    ).withColumn("period_end_utc", half_hour_end(F.col("period_start_utc")))
-    obs = obs.select("region_id", "period_start_utc", "period_end_utc", "forecast_gco2_per_kwh",
-                     "actual_gco2_per_kwh", "intensity_index", "ingested_at_utc", "event_id")
+    )
     return _exact(obs, "period_start_utc", period_from, period_to)
 
 
@@ -84,20 +93,16 @@ def carbon_table(events: DataFrame, period_from=None, period_to=None) -> DataFra
 
 
 def price_log(events: DataFrame, period_from=None, period_to=None) -> DataFrame:
-    ev = bound_periods(events, "ts", "p", period_from, period_to)
     region = (F.col("user_id") % N_REGIONS).cast("int")
-    obs = (ev.filter(F.col("event_type").isin(*PRICE_EVENT_TYPES))
-           .filter(region.between(FIRST_DNO_REGION_ID, LAST_DNO_REGION_ID))
-           .select(region.alias("region_id"),
-                   half_hour("ts").alias("period_start_utc"),
-                   F.col("value").alias("price_pence_per_kwh_inc_vat"),
-                   (F.col("value") / F.lit(VAT_DIVISOR)).alias("price_pence_per_kwh_exc_vat"),
-                   F.col("ts").alias("ingested_at_utc"),
-                   F.col("event_id"))
-           .withColumn("period_end_utc", half_hour_end(F.col("period_start_utc"))))
-    obs = obs.select("region_id", "period_start_utc", "period_end_utc",
-                     "price_pence_per_kwh_inc_vat", "price_pence_per_kwh_exc_vat",
-                     "ingested_at_utc", "event_id")
+    ev = bound_periods(events, "ts", "p", period_from, period_to).filter(
+        F.col("event_type").isin(*PRICE_EVENT_TYPES)
+        & region.between(FIRST_DNO_REGION_ID, LAST_DNO_REGION_ID))
+    start, end = _bucket()
+    obs = ev.select(region.alias("region_id"), start, end,
+                    F.col("value").alias("price_pence_per_kwh_inc_vat"),
+                    (F.col("value") / F.lit(VAT_DIVISOR)).alias("price_pence_per_kwh_exc_vat"),
+                    F.col("ts").alias("ingested_at_utc"),
+                    F.col("event_id"))
     return _exact(obs, "period_start_utc", period_from, period_to)
 
 
