@@ -337,6 +337,15 @@ def q_price_with_region(spark, sf_dir):
                                               "price_pence_per_kwh_inc_vat"), t.dim())
 
 
+def q_price_at_events(spark, sf_dir):
+    """Tariff in force at every purchase (whole events table)."""
+    t = Tables(spark, sf_dir)
+    pts = t.events.filter(F.col("event_type") == "purchase").select(
+        "event_id", "ts", (F.col("user_id") % 15).cast("int").alias("region_id"))
+    return reads.prices_at(t.price(), pts).select(
+        "event_id", "ts", "region_id", "period_start_utc", "price_pence_per_kwh_inc_vat")
+
+
 def q_dq_check_summary(spark, sf_dir):
     return quality.check_summary(q_dq_not_null(spark, sf_dir))
 
@@ -389,6 +398,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_generation_rows": q_latest_generation_rows,
     "price_with_region": q_price_with_region,
     "dq_check_summary": q_dq_check_summary,
+    "price_at_events": q_price_at_events,
 }
 
 
@@ -768,6 +778,12 @@ FROM (SELECT event_id,
         "d.octopus_code FROM price p JOIN dim d ON d.region_id = p.region_id"),
 }
 
+ORACLE["price_at_events"] = _with(
+    "SELECT e.event_id, e.ts, CAST(e.user_id % 15 AS INTEGER) AS region_id, p.period_start_utc, "
+    "p.price_pence_per_kwh_inc_vat FROM events e JOIN price p "
+    "ON p.region_id = CAST(e.user_id % 15 AS INTEGER) AND p.period_start_utc <= e.ts AND e.ts < p.period_end_utc "
+    "WHERE e.event_type = 'purchase'")
+
 ORACLE["dq_check_summary"] = (
     ORACLE["dq_not_null"].replace("WITH ", "WITH report AS (WITH ", 1)
     + ")\nSELECT CASE WHEN violations = 0 THEN 'PASS' ELSE 'ERROR' END AS status, "

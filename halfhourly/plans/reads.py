@@ -166,6 +166,30 @@ def price_current(price: DataFrame, as_of, region_id: int | None = None) -> Data
     return latest_per_region(rows.select(*PRICE_POINT), PRICE_POINT)
 
 
+def prices_at(price: DataFrame, points: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """Batch interval containment: every tariff interval containing each point
+    (``start <= t < end``) of the same region.
+
+    A range join rewritten as an equi-join: each interval is expanded into
+    the half-hour buckets it covers (one bucket for a half-hourly tariff),
+    each point gets its bucket, and the join is on ``(region_id, bucket)``
+    with the exact containment test as a residual filter — no cross product,
+    no nested-loop join.  A hot region on the point side is handled by AQE's
+    skew-join splitting (the interval side has one row per key).
+    """
+    last = F.col("period_end_utc") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.000001))
+    buckets = price.select(
+        "region_id", "period_start_utc", "period_end_utc", "price_pence_per_kwh_inc_vat",
+        "price_pence_per_kwh_exc_vat",
+        F.explode(F.sequence(F.window("period_start_utc", "30 minutes").start,
+                             F.window(last, "30 minutes").start,
+                             F.expr("INTERVAL 30 MINUTES"))).alias("_bucket"))
+    pts = points.withColumn("_bucket", F.window(ts_col, "30 minutes").start)
+    joined = pts.join(buckets, ["region_id", "_bucket"], "inner").filter(
+        (F.col("period_start_utc") <= F.col(ts_col)) & (F.col(ts_col) < F.col("period_end_utc")))
+    return joined.drop("_bucket")
+
+
 def price_range(price: DataFrame, from_ts, to_ts, region_id: int | None = None) -> DataFrame:
     check_window(from_ts, to_ts)
     require_dno(region_id)

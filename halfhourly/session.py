@@ -21,6 +21,10 @@ REQUIRED_CONF = {
     # size is bounded by construction or checked (quality.broadcast_if_small).
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # After a shuffle, AQE may replace a sort-merge join by a shuffled hash
+    # join when every partition of the build side is below this size (no
+    # sort; the per-partition hash map stays bounded).
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 

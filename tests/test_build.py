@@ -92,3 +92,17 @@ def test_tariff_code_round_trip(spark):
     df = spark.createDataFrame([("C",), ("J",)], "letter string")
     out = df.select(tariff_letter(tariff_code("AGILE-24-10-01", F.col("letter"))).alias("l")).collect()
     assert [r.l for r in out] == ["C", "J"]
+
+
+def test_prices_at_handles_long_intervals_and_boundaries(spark):
+    price = spark.createDataFrame(
+        [(1, datetime(2026, 5, 21, 10, 0), datetime(2026, 5, 21, 11, 15), 20.0, 19.0),
+         (1, datetime(2026, 5, 21, 11, 15), datetime(2026, 5, 21, 11, 30), 30.0, 28.0)],
+        "region_id int, period_start_utc timestamp_ntz, period_end_utc timestamp_ntz, "
+        "price_pence_per_kwh_inc_vat double, price_pence_per_kwh_exc_vat double")
+    pts = spark.createDataFrame(
+        [(1, datetime(2026, 5, 21, 10, 59), 1), (2, datetime(2026, 5, 21, 11, 15), 1),
+         (3, datetime(2026, 5, 21, 11, 30), 1), (4, datetime(2026, 5, 21, 10, 5), 2)],
+        "event_id long, ts timestamp_ntz, region_id int")
+    got = {r.event_id: r.price_pence_per_kwh_inc_vat for r in reads.prices_at(price, pts).collect()}
+    assert got == {1: 20.0, 2: 30.0}
