@@ -65,8 +65,15 @@ def _region(df: DataFrame, region_id: int | None) -> DataFrame:
 # region dimension
 # ---------------------------------------------------------------------------
 
+def _sorted_small(df: DataFrame, *order) -> DataFrame:
+    """Order a result whose size is bounded by construction (a dimension, the
+    fuels of one period): one small shuffle to a single partition and a local
+    sort, instead of a range-partitioned global sort with its sampling job."""
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 def regions(dim: DataFrame) -> DataFrame:
-    return dim.select(*REGION_COLS).orderBy("region_id")
+    return _sorted_small(dim.select(*REGION_COLS), "region_id")
 
 
 def region_by_slug(dim: DataFrame, slug: str) -> DataFrame:
@@ -91,8 +98,8 @@ def with_region(df: DataFrame, dim: DataFrame, code_col: str | None = None) -> D
 
 def regions_with_code(dim: DataFrame) -> DataFrame:
     """Regions that carry a tariff letter, ordered by id."""
-    return (dim.filter(F.col("octopus_code").isNotNull())
-            .select("region_id", "octopus_code").orderBy("region_id"))
+    return _sorted_small(dim.filter(F.col("octopus_code").isNotNull())
+                         .select("region_id", "octopus_code"), "region_id")
 
 
 # ---------------------------------------------------------------------------
@@ -211,8 +218,8 @@ def generation_mix_current(mix_long: DataFrame, latest_source: DataFrame | None
     """
     src = latest_source if latest_source is not None else mix_long
     latest = src.agg(F.max("period_start_utc").alias("_p"))
-    return (mix_long.join(F.broadcast(latest), F.col("period_start_utc") == F.col("_p"))
-            .drop("_p").orderBy(F.col("mw").desc()))
+    fuels = mix_long.join(F.broadcast(latest), F.col("period_start_utc") == F.col("_p")).drop("_p")
+    return _sorted_small(fuels, F.col("mw").desc())  # one period: at most 11 rows
 
 
 # ---------------------------------------------------------------------------

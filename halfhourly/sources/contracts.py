@@ -79,8 +79,18 @@ def _check_value(spec, v: Column, path: Column) -> Column:
     if isinstance(spec, Arr):
         arr = F.from_json(v, ARR)
         bad = F.when(arr.isNull(), _msg(path, ": not an array"))
-        inner = F.flatten(F.transform(
-            arr, lambda x, i: _check_value(spec.item, x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
+
+        def elem_path(i):
+            return F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
+
+        if isinstance(spec.item, Obj):
+            # Parse every element once (no common-subexpression elimination
+            # happens inside lambdas), then check the parsed maps.
+            pairs = F.arrays_zip(arr.alias("t"), F.transform(arr, lambda x: F.from_json(x, MAP)).alias("m"))
+            inner = F.flatten(F.transform(
+                pairs, lambda x, i: _check_object(spec.item, x["t"], elem_path(i), parsed=x["m"])))
+        else:
+            inner = F.flatten(F.transform(arr, lambda x, i: _check_value(spec.item, x, elem_path(i))))
         return F.when(v.isNull(), _empty()).otherwise(_cat([bad, inner]))
     pat = PATTERNS[spec.kind]
     parts = []
@@ -91,8 +101,8 @@ def _check_value(spec, v: Column, path: Column) -> Column:
     return F.when(v.isNull(), _empty()).otherwise(_cat(parts))
 
 
-def _check_object(spec: Obj, text: Column, path: Column) -> Column:
-    m = F.from_json(text, MAP)
+def _check_object(spec: Obj, text: Column, path: Column, parsed: Column | None = None) -> Column:
+    m = parsed if parsed is not None else F.from_json(text, MAP)
     keys = F.map_keys(m)
     parts = [F.when(m.isNull(), _msg(path, ": not an object"))]
     if not spec.open:
@@ -128,11 +138,12 @@ def props_contract(df: DataFrame, allowed: list[str], required: list[str], id_co
                    col: str = "props") -> DataFrame:
     """Per row: ``contract_ok`` and the first ``reason`` (malformed,
     unknown_key, missing_key) for a flat JSON object column."""
-    keys = F.json_object_keys(F.col(col))
+    m = F.from_json(F.col(col), MAP)          # one parse per document
+    keys = F.map_keys(m)
     unknown = F.size(F.array_except(keys, F.array(*[F.lit(k) for k in allowed]))) > 0
     missing = F.lit(False)
     for k in required:
-        missing = missing | F.get_json_object(F.col(col), f"$.{k}").isNull()
+        missing = missing | F.try_element_at(m, F.lit(k)).isNull()
     reason = (F.when(keys.isNull(), F.lit("malformed"))
               .when(unknown, F.lit("unknown_key"))
               .when(missing, F.lit("missing_key")))
