@@ -163,6 +163,7 @@ def ingest_stream(spark: SparkSession, landing_root: str, state_root: str, check
                   available_now: bool = True, max_files_per_trigger: int | None = None,
                   processing_time: str = "30 minutes") -> list[StreamingQuery]:
     """Start one streaming query per hot table; returns them (caller awaits)."""
+    dim = dim if dim is not None else payloads.region_seed(spark)
     out = []
     for table in tables:
         stream = payload_stream(spark, landing_root, table, max_files_per_trigger)

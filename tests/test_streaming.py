@@ -76,3 +76,24 @@ def test_deduplicated_view_keeps_one_row_per_key(spark, tmpdir_path):
     got = spark.sql("SELECT region_id, period_start_utc FROM dedup_view")
     assert got.count() == rows.select("region_id", "period_start_utc").distinct().count()
     assert got.groupBy("region_id", "period_start_utc").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_jobs_end_to_end(spark, tmpdir_path):
+    """ingest -> build -> archive -> expire -> query, through the job entry points."""
+    from halfhourly import jobs
+    land = os.path.join(tmpdir_path, "landing")
+    _land(land)
+    st, ck, qu = (os.path.join(tmpdir_path, d) for d in ("state", "ck", "quar"))
+    jobs.main(["ingest", "--landing", land, "--state", st, "--checkpoint", ck, "--quarantine", qu])
+    out = jobs.main(["build", "--state", st, "--out", os.path.join(tmpdir_path, "marts"),
+                     "--as-of", "2026-05-21T10:00:00"])
+    assert out["marts"] == ["mart_best_slots_24h", "mart_generation_mix_long", "mart_half_hourly"]
+    arch = jobs.main(["archive", "--state", st, "--lake", os.path.join(tmpdir_path, "lake"),
+                      "--as-of", "2026-05-22T02:00:00"])
+    assert arch["carbon_intensity/2026-05-21"] == 16 and arch["agile_price/2026-05-21"] == 4
+    q = jobs.main(["query", "--lake", os.path.join(tmpdir_path, "lake"),
+                   "--sql", "SELECT count(*) AS n FROM carbon_intensity WHERE region_id = ${R}",
+                   "--param", "R=0"])
+    assert q["rows_shown"] == 1
+    gone = jobs.main(["expire", "--state", st, "--as-of", "2026-09-01T00:00:00", "--days", "90"])
+    assert gone["carbon_intensity"] == 1
