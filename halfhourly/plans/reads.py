@@ -125,9 +125,15 @@ def latest_per_region(df: DataFrame, cols: list[str], order_col: str = "period_s
 
 
 def carbon_current(hh: DataFrame, region_id: int | None = None) -> DataFrame:
-    """Newest stored half-hour (possibly in the future) with a band, per region."""
-    rows = _region(hh, region_id).filter(F.col("intensity_index").isNotNull())
-    return latest_per_region(rows.select(*CARBON_POINT), CARBON_POINT)
+    """Newest stored half-hour (possibly in the future) with a band, per region.
+
+    One region: ``orderBy(desc).limit(1)`` (``TakeOrderedAndProject``: a
+    per-task top-1 and no shuffle); all regions: ``max_by`` per region.
+    """
+    rows = _region(hh, region_id).filter(F.col("intensity_index").isNotNull()).select(*CARBON_POINT)
+    if region_id is not None:
+        return rows.orderBy(F.col("period_start_utc").desc()).limit(1)
+    return latest_per_region(rows, CARBON_POINT)
 
 
 def carbon_range(hh: DataFrame, from_ts, to_ts, region_id: int | None = None) -> DataFrame:
@@ -169,8 +175,10 @@ def price_current(price: DataFrame, as_of, region_id: int | None = None) -> Data
     t = ts_lit(as_of)
     rows = _region(price, region_id).filter(
         F.col("region_id").between(FIRST_DNO_REGION_ID, LAST_DNO_REGION_ID)
-        & (F.col("period_start_utc") <= t) & (F.col("period_end_utc") > t))
-    return latest_per_region(rows.select(*PRICE_POINT), PRICE_POINT)
+        & (F.col("period_start_utc") <= t) & (F.col("period_end_utc") > t)).select(*PRICE_POINT)
+    if region_id is not None:
+        return rows.orderBy(F.col("period_start_utc").desc()).limit(1)
+    return latest_per_region(rows, PRICE_POINT)
 
 
 def prices_at(price: DataFrame, points: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -234,6 +242,8 @@ def best_slots(mart: DataFrame, region_id: int | None = None, rank_col: str | No
     rows = _region(mart, region_id)
     if rank_col is not None:
         rows = rows.filter(F.col(rank_col) <= k)
+    if region_id is not None:  # one region: at most 48 rows, in time order
+        return _sorted_small(rows, "period_start_utc")
     return rows
 
 

@@ -106,3 +106,16 @@ def test_prices_at_handles_long_intervals_and_boundaries(spark):
         "event_id long, ts timestamp_ntz, region_id int")
     got = {r.event_id: r.price_pence_per_kwh_inc_vat for r in reads.prices_at(price, pts).collect()}
     assert got == {1: 20.0, 2: 30.0}
+
+
+def test_single_region_reads(spark):
+    from halfhourly.plans.catalog import Tables
+    t = Tables(spark, SF)
+    hh = t.hh()
+    one = reads.carbon_current(hh, 5).collect()
+    every = {r.region_id: r for r in reads.carbon_current(hh).collect()}
+    assert len(one) == 1 and one[0] == every[5]
+    plan = reads.carbon_current(hh, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    with pytest.raises(ValueError):
+        reads.best_slots(hh, 0)
