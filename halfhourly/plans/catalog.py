@@ -18,7 +18,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halfhourly.functions.columns import BAND_THRESHOLDS, format_request_ts, sequence_of, ts_lit
+from halfhourly.functions.columns import BAND_THRESHOLDS, sequence_of, ts_lit
 from halfhourly.operators import lake, marts, merge, quality
 from halfhourly.plans import reads
 from halfhourly.schemas import (

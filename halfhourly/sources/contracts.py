@@ -15,7 +15,7 @@ Coercion follows the reference's lax mode: an ``int`` accepts ``89``,
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
