@@ -139,3 +139,15 @@ def test_minute_precision_instant(spark):
     df = spark.createDataFrame([("2026-05-21T14:30Z",), ("2026-05-21T14:30:00Z",), ("2026-05-21T15:30:00+01:00",)], "s string")
     got = [r.t for r in df.select(parse_iso_utc(F.col("s")).alias("t")).collect()]
     assert got == [datetime(2026, 5, 21, 14, 30)] * 3
+
+
+def test_price_fan_out_over_two_regions(spark):
+    """One scan over two tariff folders: 4 rates x 2 regions = 8 rows."""
+    dim = payloads.region_seed(spark)
+    rows = [(dumps(prices(4)), datetime(2026, 5, 21, 9, 0), "prices", f"/land/prices/E-1R-AGILE-24-10-01-{c}/p.json")
+            for c in ("C", "J")]
+    df = spark.createDataFrame(rows, "payload string, received_at timestamp_ntz, source string, file string")
+    df = df.withColumn("tariff_code", payloads.tariff_code_from_path(F.col("file")))
+    out = payloads.parse_prices(df, dim).collect()
+    assert len(out) == 8
+    assert sorted({r.region_id for r in out}) == [13, 14]
