@@ -96,6 +96,15 @@ def list_days(spark: SparkSession, path: str) -> list[date]:
     return sorted(out)
 
 
+def observed(obs: Observation, fallback) -> dict:
+    """Metrics of an ``Observation``; ``fallback()`` recomputes them when Spark
+    pruned the metrics node (it does so for inputs it can prove empty)."""
+    try:
+        return obs.get
+    except Exception:  # noqa: BLE001
+        return fallback()
+
+
 def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> dict[date, int]:
     """Replace exactly ``days`` of the table at ``path`` with the rows of
     ``df`` for those days; a day without rows ends up empty.  Returns rows
@@ -116,10 +125,7 @@ def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> dict[date,
     # day in exactly one task).
     (part.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
-    try:
-        metrics = obs.get
-    except Exception:  # noqa: BLE001 - an empty input plan is pruned with its metrics node
-        metrics = selected.agg(*per_day).first().asDict()
+    metrics = observed(obs, lambda: selected.agg(*per_day).first().asDict())
     written = {d: int(metrics.get(f"d{i}") or 0) for i, d in enumerate(days)}
     drop_partitions(spark, path, [d for d, n in written.items() if n == 0])
     return written

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -101,9 +101,14 @@ def process_batch(spark: SparkSession, batch: DataFrame, table: str, state_root:
         for src in sources:
             part = parse(src, good.filter(F.col("source") == src), dim)
             rows = part if rows is None else rows.unionByName(part)
+        # rows written (K4): observed on the merge's first pass over the batch
+        obs = Observation(f"rows_{table}_{id(batch)}")
+        plain = rows
+        rows = rows.observe(obs, merge.upsert_count(rows))
         days = lake.merge_into_days(spark, os.path.join(state_root, table), rows, merge_fn(table),
                                     TABLE_SCHEMAS[table])
-        return {"days": days}
+        metrics = lake.observed(obs, lambda: {"rows_written": plain.count()})
+        return {"days": days, "rows_written": int(metrics.get("rows_written") or 0)}
     finally:
         checked.unpersist()
 

@@ -43,8 +43,10 @@ def test_stream_equals_batch(spark, tmpdir_path):
                               os.path.join(tmpdir_path, "s_quar"), dim=dim, max_files_per_trigger=1)
     for q in qs:
         q.awaitTermination(180)
-    for table in ("carbon_intensity", "agile_price"):
-        ingest.ingest_batch(spark, land, b_state, os.path.join(tmpdir_path, "b_quar"), table, dim=dim)
+    written = {table: ingest.ingest_batch(spark, land, b_state, os.path.join(tmpdir_path, "b_quar"), table,
+                                          dim=dim)["rows_written"]
+               for table in ("carbon_intensity", "agile_price")}
+    assert written == {"carbon_intensity": 3 + 2 * 14, "agile_price": 4}
     s_carbon = _rows(spark, os.path.join(s_state, "carbon_intensity"), CARBON_SCHEMA)
     b_carbon = _rows(spark, os.path.join(b_state, "carbon_intensity"), CARBON_SCHEMA)
     strip = lambda rows: [r[:6] for r in rows]  # noqa: E731  (ingested_at differs by design)
