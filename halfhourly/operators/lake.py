@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from datetime import date, datetime, timedelta
 
@@ -116,7 +117,7 @@ def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> dict[date,
     """
     spark = df.sparkSession
     days = [_as_date(d) for d in days]
-    obs = Observation(f"days_{abs(hash((path, tuple(days))))}")
+    obs = Observation(f"days_{uuid.uuid4().hex}")
     selected = df.filter(F.col(DAY).isin(*days))
     per_day = [F.count_if(F.col(DAY) == F.lit(d)).alias(f"d{i}") for i, d in enumerate(days)]
     part = selected.observe(obs, *per_day)
@@ -140,21 +141,18 @@ def archive_days(as_of, lookback: int = ARCHIVE_LOOKBACK_DAYS) -> list[date]:
 def archive(tables: dict[str, DataFrame], lake_root: str, as_of,
             lookback: int = ARCHIVE_LOOKBACK_DAYS) -> DataFrame:
     """Nightly archive: for each hot table, rewrite the last ``lookback`` UTC
-    days in the lake.  Returns ``(table_name, period_day, rows)`` read back
-    from the written partitions (partition-pruned)."""
+    days in the lake.  Returns ``(table_name, period_day, rows)``: the counts
+    observed while writing (tables x lookback rows, built on the driver)."""
     days = archive_days(as_of, lookback)
     lo, hi = days[0], days[-1] + timedelta(days=1)
-    out = None
+    counts = []
     for name, df in tables.items():
         rows = df.filter((F.col("period_start_utc") >= ts_lit(datetime.combine(lo, datetime.min.time())))
                          & (F.col("period_start_utc") < ts_lit(datetime.combine(hi, datetime.min.time()))))
-        overwrite_days(to_lake(rows, name), f"{lake_root}/{name}", days)
+        written = overwrite_days(to_lake(rows, name), f"{lake_root}/{name}", days)
+        counts += [(name, d, n) for d, n in written.items()]
     spark = next(iter(tables.values())).sparkSession
-    for name in tables:
-        written = scan_lake(spark, lake_root, name, days[0], hi)
-        counts = archive_day_counts({name: written}, as_of, lookback)
-        out = counts if out is None else out.unionByName(counts)
-    return out
+    return spark.createDataFrame(counts, f"table_name string, {DAY} date, rows bigint")
 
 
 def archive_day_counts(tables: dict[str, DataFrame], as_of,
