@@ -59,18 +59,28 @@ def read_payloads(spark: SparkSession, path: str | list[str], source: str) -> Da
         F.col("_metadata.file_path").alias("file"))
 
 
+def _file_key(payloads: DataFrame) -> Column:
+    """A deterministic per-file tiebreak (files landed in the same instant
+    must merge in the same order on every run and replay)."""
+    if "file" in payloads.columns:
+        return F.pmod(F.xxhash64(F.col("file")), F.lit(1 << 31)).alias("_fk")
+    return F.lit(0).cast("bigint").alias("_fk")
+
+
 def _seq(received_at: Column, *positions: Column) -> Column:
-    """Merge order inside a batch: received time, then nested positions."""
+    """Merge order inside a batch: received time, then file, then nested
+    positions (file key < 2^31 and packed positions < 2^31)."""
     tie = F.lit(0).cast("bigint")
     for p in positions:
         tie = tie * 100_000 + p.cast("bigint")
+    tie = F.col("_fk") * F.lit(1 << 31) + tie
     return sequence_of(F.coalesce(received_at, F.lit("1970-01-01").cast("timestamp_ntz")), tie)
 
 
 def parse_national(payloads: DataFrame) -> DataFrame:
     """National intensity: one row per period, region 0, ``actual`` nullable."""
-    p = payloads.select("received_at", F.from_json("payload", NATIONAL_WIRE).alias("w"))
-    e = p.select("received_at", F.posexplode("w.data").alias("i", "d"))
+    p = payloads.select("received_at", _file_key(payloads), F.from_json("payload", NATIONAL_WIRE).alias("w"))
+    e = p.select("received_at", "_fk", F.posexplode("w.data").alias("i", "d"))
     return e.select(
         F.lit(NATIONAL_REGION_ID).cast("int").alias("region_id"),
         parse_iso_utc(F.col("d.from")).alias("period_start_utc"),
@@ -84,9 +94,9 @@ def parse_national(payloads: DataFrame) -> DataFrame:
 
 def parse_regional(payloads: DataFrame) -> DataFrame:
     """Regional intensity: periods x regions, rollups 15..18 dropped, no actual."""
-    p = payloads.select("received_at", F.from_json("payload", REGIONAL_WIRE).alias("w"))
-    e = p.select("received_at", F.posexplode("w.data").alias("i", "d"))
-    r = e.select("received_at", "i", "d", F.posexplode("d.regions").alias("j", "r"))
+    p = payloads.select("received_at", _file_key(payloads), F.from_json("payload", REGIONAL_WIRE).alias("w"))
+    e = p.select("received_at", "_fk", F.posexplode("w.data").alias("i", "d"))
+    r = e.select("received_at", "_fk", "i", "d", F.posexplode("d.regions").alias("j", "r"))
     r = r.filter(~F.col("r.regionid").cast("int").isin(*ROLLUP_REGION_IDS))
     return r.select(
         F.col("r.regionid").cast("int").alias("region_id"),
@@ -102,9 +112,9 @@ def parse_regional(payloads: DataFrame) -> DataFrame:
 def parse_generation_mix(payloads: DataFrame) -> DataFrame:
     """Generation mix: ``success=false`` documents yield no rows (they belong
     in quarantine, see ``reject_unsuccessful``); naive times pinned to UTC."""
-    p = payloads.select("received_at", F.from_json("payload", MIX_WIRE).alias("w"))
+    p = payloads.select("received_at", _file_key(payloads), F.from_json("payload", MIX_WIRE).alias("w"))
     p = p.filter(F.col("w.success"))
-    e = p.select("received_at", F.posexplode("w.result.records").alias("i", "r"))
+    e = p.select("received_at", "_fk", F.posexplode("w.result.records").alias("i", "r"))
     return e.select(
         parse_naive_utc(F.col("r.DATETIME")).alias("period_start_utc"),
         *[F.col(f"r.{w}").cast("double").alias(c) for w, c in MIX_WIRE_FUELS],
@@ -123,9 +133,9 @@ def reject_unsuccessful(payloads: DataFrame) -> DataFrame:
 def parse_prices(payloads: DataFrame, dim: DataFrame, code_col: str = "tariff_code") -> DataFrame:
     """Tariff rates: region comes from the request (tariff code letter), not
     the body; resolved by a broadcast join to the (size-checked) dimension."""
-    p = payloads.select("received_at", tariff_letter(F.col(code_col)).alias("octopus_code"),
+    p = payloads.select("received_at", _file_key(payloads), tariff_letter(F.col(code_col)).alias("octopus_code"),
                         F.from_json("payload", PRICE_WIRE).alias("w"))
-    e = p.select("received_at", "octopus_code", F.posexplode("w.results").alias("i", "r"))
+    e = p.select("received_at", "_fk", "octopus_code", F.posexplode("w.results").alias("i", "r"))
     regions = broadcast_if_small(dim.select("region_id", "octopus_code").filter(F.col("octopus_code").isNotNull()))
     return e.join(regions, "octopus_code", "inner").select(
         F.col("region_id").cast("int"),
