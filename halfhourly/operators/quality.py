@@ -143,8 +143,8 @@ def staleness(tables: dict[str, DataFrame], as_of, limits: dict[str, int]) -> Da
     """Seconds since the newest ingest per source at ``as_of`` vs its limit."""
     parts = []
     for name, df in tables.items():
-        age = (F.unix_micros(ts_lit(as_of).cast("timestamp"))
-               - F.unix_micros(F.max("ingested_at_utc").cast("timestamp"))) / 1_000_000
+        # seconds between two TIMESTAMP_NTZ values: no session time zone involved
+        age = F.timestamp_diff("SECOND", F.max("ingested_at_utc"), ts_lit(as_of))
         parts.append(df.agg(F.max("ingested_at_utc").alias("last_ingest_utc"),
                             age.cast("bigint").alias("age_s"))
                      .select(F.lit(name).alias("source"), "last_ingest_utc", "age_s",

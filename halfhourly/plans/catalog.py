@@ -212,8 +212,8 @@ def q_retention_90d(spark, sf_dir):
 
 def q_backfill_windows(spark, sf_dir):
     c = Tables(spark, sf_dir).carbon()
-    span = c.agg(F.date_trunc("day", F.min("period_start_utc")).cast("timestamp_ntz").alias("start"),
-                 (F.date_trunc("day", F.max("period_start_utc")).cast("timestamp_ntz")
+    span = c.agg(F.to_date(F.min("period_start_utc")).cast("timestamp_ntz").alias("start"),
+                 (F.to_date(F.max("period_start_utc")).cast("timestamp_ntz")
                   + F.expr("INTERVAL 1 DAY")).alias("end"))
     from halfhourly.sources.payloads import plan_windows
     return plan_windows(span)

@@ -269,7 +269,8 @@ def monthly_intensity(lake_carbon: DataFrame, as_of, months: int = 24,
     """Average actual/forecast and half-hour count per month, newest first."""
     since = ts_lit(as_of) - F.make_ym_interval(F.lit(0), F.lit(months))
     rows = lake_carbon.filter((F.col("region_id") == region_id) & (F.col("period_start_utc") >= since))
-    month = F.date_trunc("month", F.col("period_start_utc")).cast("timestamp_ntz")
+    # via DATE: zone-free for TIMESTAMP_NTZ (date_trunc would go through the session zone)
+    month = F.trunc(F.to_date("period_start_utc"), "month").cast("timestamp_ntz")
     return (rows.groupBy(month.alias("month"))
             .agg(F.avg("actual_gco2_per_kwh").alias("avg_actual_gco2_per_kwh"),
                  F.avg("forecast_gco2_per_kwh").alias("avg_forecast_gco2_per_kwh"),

@@ -166,7 +166,7 @@ def plan_windows(span: DataFrame, days: int = BACKFILL_CHUNK_DAYS) -> DataFrame:
     """Cut each ``[start, end)`` row into ``days``-long windows, the last one
     clipped to ``end``; adds the request-format strings."""
     step = days * 86400
-    secs = F.unix_seconds(F.col("end").cast("timestamp")) - F.unix_seconds(F.col("start").cast("timestamp"))
+    secs = F.timestamp_diff("SECOND", F.col("start"), F.col("end"))
     n = F.ceil(secs / F.lit(step)).cast("int")
     k = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     w = span.select("start", "end", F.explode(k).alias("k"))
