@@ -96,27 +96,37 @@ def is_forecast(actual: Column) -> Column:
     return actual.isNull()
 
 
-def parse_iso_utc(s: Column) -> Column:
-    """ISO instant with a ``Z``/offset, minutes or seconds precision -> UTC timestamp_ntz.
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
 
-    ``2026-05-21T14:30Z`` and ``2026-05-21T14:30:00Z`` both parse; the default
-    string cast would return NULL for the minutes-only form.
+def parse_iso_utc(s: Column) -> Column:
+    """ISO instant with a ``Z``/offset, minutes or seconds precision -> UTC
+    wall clock as ``TIMESTAMP_NTZ``, whatever the session time zone.
+
+    ``2026-05-21T14:30Z`` and ``2026-05-21T14:30:00Z`` both parse (the
+    default string cast returns NULL for the minutes-only form).  The text
+    carries its own offset, so the parsed instant is zone-free; it is turned
+    into UTC wall clock through epoch microseconds, not through a cast (a
+    cast to NTZ would use the session zone).
     """
-    ts = F.coalesce(
+    instant = F.coalesce(
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mmXXX")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")),
     )
-    # Session time zone is UTC, so the wall-clock of the LTZ value is UTC.
-    return ts.cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
 
 
 def parse_naive_utc(s: Column) -> Column:
-    """Naive ISO text pinned to UTC (the generation-mix feed's convention)."""
+    """Naive ISO text read as UTC wall clock (the generation-mix feed's
+    convention), parsed straight to ``TIMESTAMP_NTZ`` so no session zone (and
+    no DST gap) is involved; text in another shape gives NULL."""
     return F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),
-    ).cast("timestamp_ntz")
+        F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$"),
+               F.to_timestamp_ntz(s, F.lit("yyyy-MM-dd'T'HH:mm:ss"))),
+        F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"),
+               F.to_timestamp_ntz(s, F.lit("yyyy-MM-dd HH:mm:ss"))),
+    )
 
 
 def format_request_ts(ts: Column) -> Column:

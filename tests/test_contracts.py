@@ -151,3 +151,19 @@ def test_price_fan_out_over_two_regions(spark):
     out = payloads.parse_prices(df, dim).collect()
     assert len(out) == 8
     assert sorted({r.region_id for r in out}) == [13, 14]
+
+
+def test_wire_times_do_not_depend_on_session_zone(spark):
+    """Parsed instants are UTC wall clock even in a session set to London
+    (BST in May: a zone leak would show as a one-hour shift)."""
+    from halfhourly.functions.columns import parse_iso_utc, parse_naive_utc
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+    try:
+        df = spark.createDataFrame([("2026-05-21T14:30Z", "2026-03-29T01:30:00")], "a string, b string")
+        r = df.select(parse_iso_utc(F.col("a")).alias("a"), parse_naive_utc(F.col("b")).alias("b")).first()
+        assert r.a == datetime(2026, 5, 21, 14, 30)
+        assert r.b == datetime(2026, 3, 29, 1, 30)   # inside London's spring-forward gap
+        assert payloads.parse_national(_frame(spark, [NATIONAL])).first().period_start_utc == datetime(2026, 5, 21, 14, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
