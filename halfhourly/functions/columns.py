@@ -14,6 +14,7 @@ __all__ = [
     "day_of", "share_pct", "band_of_forecast", "band_code", "band_from_code",
     "band_class", "display_value", "is_forecast", "parse_iso_utc", "parse_naive_utc",
     "format_request_ts", "tariff_code", "tariff_letter", "slugify", "sequence_of", "oldest_sequence",
+    "utc_wall_clock",
     "BAND_THRESHOLDS",
 ]
 
@@ -99,6 +100,13 @@ def is_forecast(actual: Column) -> Column:
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
+def utc_wall_clock(instant: Column) -> Column:
+    """A zone-aware TIMESTAMP (an instant) as its UTC wall clock in
+    ``TIMESTAMP_NTZ``, via epoch microseconds; a plain cast would use the
+    session time zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def parse_iso_utc(s: Column) -> Column:
     """ISO instant with a ``Z``/offset, minutes or seconds precision -> UTC
     wall clock as ``TIMESTAMP_NTZ``, whatever the session time zone.
@@ -114,7 +122,7 @@ def parse_iso_utc(s: Column) -> Column:
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")),
     )
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+    return utc_wall_clock(instant)
 
 
 def parse_naive_utc(s: Column) -> Column:

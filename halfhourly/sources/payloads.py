@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from halfhourly.functions.columns import (
-    format_request_ts, parse_iso_utc, parse_naive_utc, sequence_of, tariff_letter,
+    format_request_ts, parse_iso_utc, parse_naive_utc, sequence_of, tariff_letter, utc_wall_clock,
 )
 from halfhourly.schemas import (
     BACKFILL_CHUNK_DAYS, MIX_WIRE_FUELS, NATIONAL_REGION_ID, REGION_SCHEMA, REGION_SEED,
@@ -54,7 +54,7 @@ def read_payloads(spark: SparkSession, path: str | list[str], source: str) -> Da
     df = spark.read.option("wholetext", "true").text(path)
     return df.select(
         F.col("value").alias("payload"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("received_at"),
+        utc_wall_clock(F.col("_metadata.file_modification_time")).alias("received_at"),
         F.lit(source).alias("source"),
         F.col("_metadata.file_path").alias("file"))
 

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from halfhourly.functions.columns import utc_wall_clock
 from halfhourly.operators import lake, merge
 from halfhourly.schemas import (
     CARBON_KEY, CARBON_SCHEMA, MIX_KEY, MIX_SCHEMA, PRICE_KEY, PRICE_SCHEMA,
@@ -155,7 +156,7 @@ def payload_stream(spark: SparkSession, landing_root: str, table: str,
 def _payload_columns(df: DataFrame, sources: list[str]) -> DataFrame:
     out = df.select(
         F.col("value").alias("payload"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("received_at"),
+        utc_wall_clock(F.col("_metadata.file_modification_time")).alias("received_at"),
         _source_of(F.col("_metadata.file_path"), sources).alias("source"),
         F.col("_metadata.file_path").alias("file"))
     if "prices" in sources:
