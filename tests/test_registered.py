@@ -61,3 +61,21 @@ def test_entry_smoke(spark):
     for rs in by_region.values():
         assert sorted(r.cheapest_rank for r in rs) == list(range(1, len(rs) + 1))
         assert sorted(r.greenest_rank for r in rs) == list(range(1, len(rs) + 1))
+
+
+@pytest.mark.parametrize("name", ["best_slots_24h", "monthly_rollup", "monthly_rollup_carbon", "dq_staleness",
+                                  "backfill_windows", "archive_day_counts", "carbon_trend_24h", "dq_grid_gaps"])
+def test_query_does_not_depend_on_session_zone(spark, duck, name):
+    """Run without the UTC pinning, in a session set to New York."""
+    from halfhourly.plans import catalog
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        sdf = catalog.queries()[name](spark, SF)
+        cols = sorted(sdf.columns)
+        srows = [r.asDict() for r in sdf.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = duck.sql(E.oracle_sql()[name])
+    orows = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
+    assert _rows(srows, cols) == _rows(orows, cols)
