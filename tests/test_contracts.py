@@ -167,3 +167,19 @@ def test_wire_times_do_not_depend_on_session_zone(spark):
         assert payloads.parse_national(_frame(spark, [NATIONAL])).first().period_start_utc == datetime(2026, 5, 21, 14, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_quality_checks_on_parsed_payloads(spark):
+    from halfhourly.operators import marts, quality
+    regional_rows = payloads.parse_regional(_frame(spark, [regional()]))
+    cov = quality.region_coverage(regional_rows).collect()
+    assert len(cov) == 1 and cov[0].regions == 14 and cov[0].complete
+    report = {r.check: r.violations for r in quality.row_checks(
+        regional_rows, "carbon_intensity", [quality.regional_actual_null_check(), quality.period_order_check()]).collect()}
+    assert report == {"regional_actual_null": 0, "period_order": 0}
+    mix = payloads.parse_generation_mix(_frame(spark, [generation_mix()]))
+    assert quality.fuels_per_period(marts.generation_mix_long(mix)).count() == 0
+    comp = quality.row_checks(mix, "generation_mix", [quality.component_sum_check()]).first()
+    assert comp.violations == 0
+    shares = marts.generation_mix_long(mix).groupBy("period_start_utc").agg(F.sum("share_of_generation_pct").alias("s"))
+    assert all(abs(r.s - 100.0) < 1e-9 for r in shares.collect())
