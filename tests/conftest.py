@@ -10,7 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from halfhourly.session import get_spark
-    s = get_spark("local[*]", app="halfhourly-tests", shuffle_partitions=8)
+    s = get_spark("local[*]", app="halfhourly-tests", shuffle_partitions=8,
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="hh-warehouse-")})
     yield s
     s.stop()
 
