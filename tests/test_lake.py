@@ -92,3 +92,11 @@ def test_lake_schemas():
     for name in LAKE_TABLES:
         names = lake_schema(name).fieldNames()
         assert len(names) == len(set(names)) and names[0] in ("region_id", "period_start_utc")
+
+
+def test_scan_day_is_one_utc_day(spark):
+    c = _tables(spark)["carbon_intensity"]
+    day = lake.scan_day(c, "2024-01-10")
+    got = {r[0] for r in day.select(F.to_date("period_start_utc")).distinct().collect()}
+    assert got == {date(2024, 1, 10)}
+    assert day.count() == c.filter(F.to_date("period_start_utc") == F.lit(date(2024, 1, 10))).count()
