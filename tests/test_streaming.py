@@ -99,3 +99,19 @@ def test_jobs_end_to_end(spark, tmpdir_path):
     assert q["rows_shown"] == 1
     gone = jobs.main(["expire", "--state", st, "--as-of", "2026-09-01T00:00:00", "--days", "90"])
     assert gone["carbon_intensity"] == 1
+
+
+def test_processing_time_trigger(spark, tmpdir_path):
+    """The long-running form (processing-time trigger) ingests what lands."""
+    land = os.path.join(tmpdir_path, "landing")
+    _land(land)
+    st = os.path.join(tmpdir_path, "state")
+    qs = ingest.ingest_stream(spark, land, st, os.path.join(tmpdir_path, "ck"), os.path.join(tmpdir_path, "q"),
+                              tables=("carbon_intensity",), available_now=False, processing_time="1 second")
+    try:
+        for q in qs:
+            q.processAllAvailable()
+    finally:
+        for q in qs:
+            q.stop()
+    assert len(_rows(spark, os.path.join(st, "carbon_intensity"), CARBON_SCHEMA)) == 2 + 14
