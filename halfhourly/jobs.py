@@ -68,9 +68,14 @@ def run_expire(spark, a) -> dict:
 
 
 def run_query(spark, a) -> dict:
+    """Ad-hoc SQL over the lake tables; without ``--sql`` the default report:
+    national monthly averages for the last 24 months, newest first."""
     views = {name: lake.scan_lake(spark, a.lake, name) for name in LAKE_TABLES}
-    params = dict(p.split("=", 1) for p in a.param)
-    df, secs = reads.ad_hoc(spark, a.sql, views, **params)
+    if a.sql:
+        params = dict(p.split("=", 1) for p in a.param)
+        df, secs = reads.ad_hoc(spark, a.sql, views, **params)
+    else:
+        df, secs = reads.monthly_intensity(views["carbon_intensity"], _as_of(a.as_of)), 0.0
     rows = df.limit(a.max_rows).collect()  # display only; the limit is the feature
     print("\t".join(df.columns))
     for r in rows:
@@ -100,8 +105,9 @@ def main(argv: list[str] | None = None) -> dict:
     s.add_argument("--days", type=int, default=HOT_RETENTION_DAYS)
     s = sub.add_parser("query")
     s.add_argument("--lake", required=True)
-    s.add_argument("--sql", required=True)
+    s.add_argument("--sql", help="default: monthly national averages, last 24 months")
     s.add_argument("--param", action="append", default=[])
+    s.add_argument("--as-of")
     s.add_argument("--max-rows", type=int, default=100)
     a = p.parse_args(argv)
     spark = get_spark(app=f"halfhourly-{a.cmd}")

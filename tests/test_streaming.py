@@ -97,6 +97,8 @@ def test_jobs_end_to_end(spark, tmpdir_path):
                    "--sql", "SELECT count(*) AS n FROM carbon_intensity WHERE region_id = ${R}",
                    "--param", "R=0"])
     assert q["rows_shown"] == 1
+    monthly = jobs.main(["query", "--lake", os.path.join(tmpdir_path, "lake"), "--as-of", "2026-06-01T00:00:00"])
+    assert monthly["rows_shown"] == 1
     gone = jobs.main(["expire", "--state", st, "--as-of", "2026-09-01T00:00:00", "--days", "90"])
     assert gone["carbon_intensity"] == 1
 
