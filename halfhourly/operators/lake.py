@@ -106,28 +106,42 @@ def observed(obs: Observation, fallback) -> dict:
         return fallback()
 
 
-def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> dict[date, int]:
+# Up to this many days, rows are counted per day during the write; beyond it
+# (backfills over years) only the set of days that received rows is observed.
+MAX_COUNTED_DAYS = 62
+
+
+def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> dict[date, int | None]:
     """Replace exactly ``days`` of the table at ``path`` with the rows of
     ``df`` for those days; a day without rows ends up empty.  Returns rows
-    written per day.
+    written per day (``None`` = rows written, not counted, for long lists).
 
-    The per-day row counts are observed during the write itself (one
-    ``count_if`` per requested day), so the input is computed once; the
-    days that received no rows are then deleted explicitly.
+    What was written is observed during the write itself, so the input is
+    computed once: one ``count_if`` per day for short lists, else the set of
+    days present (bounded by ``len(days)``).  Days that received no rows are
+    then deleted explicitly.
     """
     spark = df.sparkSession
     days = [_as_date(d) for d in days]
     obs = Observation(f"days_{uuid.uuid4().hex}")
     selected = df.filter(F.col(DAY).isin(*days))
-    per_day = [F.count_if(F.col(DAY) == F.lit(d)).alias(f"d{i}") for i, d in enumerate(days)]
-    part = selected.observe(obs, *per_day)
+    counted = len(days) <= MAX_COUNTED_DAYS
+    if counted:
+        metrics_exprs = [F.count_if(F.col(DAY) == F.lit(d)).alias(f"d{i}") for i, d in enumerate(days)]
+    else:
+        metrics_exprs = [F.collect_set(DAY).alias("present")]
+    part = selected.observe(obs, *metrics_exprs)
     # rebalance: cluster by day but let AQE split a large day over several
     # tasks/files and merge small ones (a plain repartition would put each
     # day in exactly one task).
     (part.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
-    metrics = observed(obs, lambda: selected.agg(*per_day).first().asDict())
-    written = {d: int(metrics.get(f"d{i}") or 0) for i, d in enumerate(days)}
+    metrics = observed(obs, lambda: selected.agg(*metrics_exprs).first().asDict())
+    if counted:
+        written = {d: int(metrics.get(f"d{i}") or 0) for i, d in enumerate(days)}
+    else:
+        present = set(metrics.get("present") or [])
+        written = {d: (None if d in present else 0) for d in days}
     drop_partitions(spark, path, [d for d, n in written.items() if n == 0])
     return written
 

@@ -2,7 +2,7 @@
 partition, other days stay untouched; retention and table registration."""
 
 import os
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -100,3 +100,15 @@ def test_scan_day_is_one_utc_day(spark):
     got = {r[0] for r in day.select(F.to_date("period_start_utc")).distinct().collect()}
     assert got == {date(2024, 1, 10)}
     assert day.count() == c.filter(F.to_date("period_start_utc") == F.lit(date(2024, 1, 10))).count()
+
+
+def test_overwrite_long_day_list(spark, tmpdir_path):
+    """Beyond MAX_COUNTED_DAYS only presence is observed; empty days still clear."""
+    c = lake.with_day(_tables(spark)["carbon_intensity"])
+    path = os.path.join(tmpdir_path, "t")
+    days = [date(2023, 12, 1) + timedelta(days=i) for i in range(70)]
+    lake.with_day(c).write.partitionBy("period_day").parquet(path)  # includes Jan 2024 days
+    written = lake.overwrite_days(c.filter(F.col("period_day") != F.lit(date(2024, 1, 3))), path, days)
+    assert written[date(2024, 1, 2)] is None and written[date(2024, 1, 3)] == 0
+    assert date(2024, 1, 3) not in lake.list_days(spark, path)
+    assert date(2024, 1, 2) in lake.list_days(spark, path)
