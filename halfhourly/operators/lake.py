@@ -281,10 +281,15 @@ def archive_tables(spark: SparkSession, state_root: str, lake_root: str, as_of,
     return archive(tables, lake_root, as_of, lookback)
 
 
-def backfill(rows: DataFrame, lake_root: str, table: str = "carbon_intensity") -> dict[date, int]:
+def backfill(rows: DataFrame, lake_root: str, table: str = "carbon_intensity") -> dict[date, int | None]:
     """Load history rows (e.g. parsed national payloads) straight into the
-    lake, bypassing the hot table.  Every day present is overwritten, so the
-    backfill can be re-run without duplicating rows."""
+    lake, bypassing the hot table.  Every day present is overwritten (dynamic
+    partition overwrite), so the backfill can be re-run without duplicating
+    rows; one pass over the input, the written days observed on the way."""
     lake_rows = to_lake(rows.drop(*[c for c in rows.columns if c.startswith("_")]), table)
-    days = sorted(r[0] for r in lake_rows.select(DAY).distinct().collect())  # one row per day
-    return overwrite_days(lake_rows, f"{lake_root}/{table}", days) if days else {}
+    obs = Observation(f"backfill_{uuid.uuid4().hex}")
+    exprs = [F.collect_set(DAY).alias("present")]
+    (lake_rows.observe(obs, *exprs).hint("rebalance", DAY).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(f"{lake_root}/{table}"))
+    present = observed(obs, lambda: lake_rows.agg(*exprs).first().asDict()).get("present") or []
+    return {d: None for d in sorted(present)}
