@@ -141,7 +141,9 @@ def carbon_range(hh: DataFrame, from_ts, to_ts, region_id: int | None = None) ->
     rows = _region(hh, region_id).filter(
         (F.col("period_start_utc") >= ts_lit(from_ts)) & (F.col("period_start_utc") < ts_lit(to_ts))
         & F.col("intensity_index").isNotNull())
-    return rows.select(*CARBON_POINT)
+    rows = rows.select(*CARBON_POINT)
+    # one region: at most 14 days x 48 rows (guarded), returned in time order
+    return _sorted_small(rows, "period_start_utc") if region_id is not None else rows
 
 
 def carbon_trend(hh: DataFrame, as_of, hours: int = 24, region_id: int | None = None) -> DataFrame:
@@ -151,9 +153,9 @@ def carbon_trend(hh: DataFrame, as_of, hours: int = 24, region_id: int | None =
     rows = _region(hh, region_id).filter(
         (F.col("period_start_utc") >= start) & (F.col("period_start_utc") < end)
         & F.col("intensity_index").isNotNull())
-    return rows.select("region_id", "period_start_utc", "forecast_gco2_per_kwh",
-                       "actual_gco2_per_kwh",
+    rows = rows.select("region_id", "period_start_utc", "forecast_gco2_per_kwh", "actual_gco2_per_kwh",
                        F.date_format("period_start_utc", "HH:mm").alias("label"))
+    return _sorted_small(rows, "period_start_utc") if region_id is not None else rows
 
 
 def current_conditions(hh: DataFrame, region_id: int | None = None) -> DataFrame:
@@ -210,7 +212,8 @@ def price_range(price: DataFrame, from_ts, to_ts, region_id: int | None = None)
     require_dno(region_id)
     rows = _region(price, region_id).filter(
         (F.col("period_start_utc") >= ts_lit(from_ts)) & (F.col("period_start_utc") < ts_lit(to_ts)))
-    return rows.select(*PRICE_POINT)
+    rows = rows.select(*PRICE_POINT)
+    return _sorted_small(rows, "period_start_utc") if region_id is not None else rows
 
 
 # ---------------------------------------------------------------------------

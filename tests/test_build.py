@@ -119,3 +119,13 @@ def test_single_region_reads(spark):
     assert "TakeOrderedAndProject" in plan
     with pytest.raises(ValueError):
         reads.best_slots(hh, 0)
+
+
+def test_single_region_ranges_in_time_order(spark):
+    from halfhourly.plans.catalog import Tables
+    t = Tables(spark, SF)
+    rows = reads.carbon_range(t.hh(), "2024-01-08 00:00:00", "2024-01-20 00:00:00", 3).collect()
+    starts = [r.period_start_utc for r in rows]
+    assert starts == sorted(starts) and {r.region_id for r in rows} <= {3}
+    trend = reads.carbon_trend(t.hh(), "2024-01-15 12:00:00", 24, 3).collect()
+    assert [r.period_start_utc for r in trend] == sorted(r.period_start_utc for r in trend)
