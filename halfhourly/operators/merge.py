@@ -46,17 +46,14 @@ def reduce_newest(rows: DataFrame, keys: Sequence[str], seq: Column | str,
     return rows.groupBy(*keys).agg(*aggs)
 
 
-
-
 def carbon_from_log(log: DataFrame, seq: Column | None = None) -> DataFrame:
     """Carbon table from an append-only observation log.
 
-    ``log`` has the carbon columns plus ``ingested_at_utc`` and a non-negative
+    ``log`` has the carbon columns plus ``ingested_at_utc`` and an
     ``event_id`` tiebreak; order is ``(ingested_at_utc, event_id)``.
     """
     seq = seq if seq is not None else sequence_of(F.col("ingested_at_utc"), F.col("event_id"))
-    enc = log.withColumn(SEQ, seq)
-    red = reduce_newest(enc, CARBON_KEY, SEQ,
+    red = reduce_newest(log.withColumn(SEQ, seq), CARBON_KEY, SEQ,
                         newest=CARBON_VALUES + ["ingested_at_utc"],
                         sticky=["actual_gco2_per_kwh"])
     return red.select(
@@ -89,8 +86,8 @@ def upsert_carbon(current: DataFrame, incoming: DataFrame, now, incoming_seq: Co
     by the newest incoming row, ``actual`` = newest incoming non-NULL else the
     stored value, ``ingested_at_utc`` = ``now`` for every touched key.
 
-    ``incoming_seq`` orders the batch (list order, i.e. file + position); it
-    must be non-negative.
+    ``incoming_seq`` (a ``sequence_of`` struct) orders the batch: received
+    time, then file and position; stored rows count as older than any batch.
     """
     u = _stamp(current, incoming, incoming_seq, now)
     red = reduce_newest(u, CARBON_KEY, SEQ, newest=CARBON_VALUES + ["ingested_at_utc"],
