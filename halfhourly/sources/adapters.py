@@ -33,8 +33,21 @@ PRICE_EVENT_TYPES = ["view", "click"]
 VAT_DIVISOR = 1.05
 
 
+# Declared schemas of the driver tables the stand-ins read (no inference job
+# per read; a file that disagrees fails loudly instead of drifting).
+DRIVER_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bound_periods(df: DataFrame, ts: str, period: str, period_from=None, period_to=None) -> DataFrame:
