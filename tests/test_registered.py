@@ -14,7 +14,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 9)
+        return "nan" if math.isnan(v) else repr(v)  # exact, like the driver's value hash
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
