@@ -11,6 +11,7 @@ Sub-packages:
 * ``operators`` natural-key merges, marts, lake maintenance, data-quality checks
 * ``plans``     composite read queries and the registered query catalogue
 * ``streaming`` Structured Streaming ingest (file source + foreachBatch merge)
+* ``jobs``      spark-submit entry points (ingest, build, archive, expire, query)
 """
 
 from halfhourly.session import get_spark, checkpoint_dir
