@@ -49,3 +49,21 @@ def test_merge_matches_row_by_row_upsert(spark, rows, cut):
     got = {(r.region_id, int((r.period_start_utc - T0).total_seconds() // 1800)):
            (r.forecast_gco2_per_kwh, r.actual_gco2_per_kwh, r.intensity_index) for r in state.collect()}
     assert got == model([rows[:cut], rows[cut:]])
+
+
+obs_row = st.tuples(st.integers(0, 1), st.integers(0, 2), st.integers(0, 300),
+                    st.one_of(st.none(), st.integers(0, 300)), st.integers(0, 20 * 24 * 60))
+
+
+@settings(max_examples=5, deadline=None)
+@given(rows=st.lists(obs_row, min_size=1, max_size=30), keep_days=st.integers(0, 15))
+def test_compaction_preserves_reduced_state(spark, rows, keep_days):
+    data = [(r, T0 + timedelta(minutes=30 * s), T0 + timedelta(minutes=30 * s + 30), f, a, "low",
+             T0 + timedelta(minutes=m), i) for i, (r, s, f, a, m) in enumerate(rows)]
+    log = spark.createDataFrame(data, "region_id int, period_start_utc timestamp_ntz, period_end_utc timestamp_ntz, "
+                                      "forecast_gco2_per_kwh int, actual_gco2_per_kwh int, intensity_index string, "
+                                      "ingested_at_utc timestamp_ntz, event_id long")
+    as_of = (T0 + timedelta(days=20)).strftime("%Y-%m-%d %H:%M:%S")
+    full = sorted(tuple(r) for r in merge.carbon_from_log(log).collect())
+    compacted = merge.compact_log(log, as_of, keep_days)
+    assert sorted(tuple(r) for r in merge.carbon_from_log(compacted).collect()) == full
