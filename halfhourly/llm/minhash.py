@@ -23,7 +23,7 @@ Every candidate is confirmed on the full shingle sets, recomputed from the texts
 
 Defined cases: null or empty text, or no words: empty set, linked with nothing;
 fewer words than a shingle: the whole sequence is the one shingle; repeated rows
-(same doc_id and text): same class; a null doc_id stands after all others and gets
+(same doc_id and text): same class; rows that share a doc_id share its links; a null doc_id stands after all others and gets
 the class's component; an empty table gives an empty result; extra columns are
 ignored by ``components`` and kept by ``keep_first``.
 """
@@ -50,6 +50,7 @@ COLLISION = 2.0 ** -MANTISSA / 3
 #: standard deviation at 0.8 is 0.035, up to 0.05 where buckets are borrowed: 5 deviations or more.
 SLACK = 0.25
 BLOCK = 2048  # members of a bucket whose registers are compared in one task
+BROADCAST_IDS = 2_000_000  # 16 MB of ids
 VERIFY = 128  # nodes whose full sets are compared in one task, on either side
 
 _SIGNATURE = "doc_id long, n_shingles long, set_key binary, registers binary"
@@ -162,6 +163,16 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
             .select("u", "v", "tu", "tv").mapInPandas(run, "u long, v long"))
 
 
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the given nodes only, written once for all joins that follow.  While the ids are few
+    they filter the scan as a broadcast; beyond BROADCAST_IDS the texts are dealt by doc_id once."""
+    ids = materialize(nodes.distinct(), "needed-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    own = docs.select(F.col("doc_id").alias("node"), "text").filter("text IS NOT NULL")
+    return materialize(own.join(ids, "node", "left_semi"), "needed-texts")
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (u, v); component is the smallest node.
 
@@ -308,12 +319,15 @@ def components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     star = members.filter("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
     near = _similar(star.join(regs.withColumnsRenamed({"node": "u", "registers": "ru"}), "u")
                     .join(regs.withColumnsRenamed({"node": "v", "registers": "rv"}), "v"), floor)
-    texts = docs.select(F.col("doc_id").alias("node"), "text").filter("text IS NOT NULL")
+    near = materialize(near, "pairs-star")
+    texts = _texts(docs, near.select(F.explode(F.array("u", "v")).alias("node")))
     links = materialize(_confirm(near, texts, size, percent), "links-star")
     found = materialize(connected(links), "components-star")
     lists, nodes = _rest(members, found, regs, floor)
     lists = materialize(lists, "candidates-rest")
     if not lists.isEmpty():
+        met = nodes.join(lists.select("home", "vblock").distinct(), ["home", "vblock"], "left_semi")
+        texts = _texts(docs, lists.select(F.col("u").alias("node")).unionByName(met.select("node")))
         links = materialize(links.unionByName(_confirm_lists(lists, nodes, texts, size, percent)), "links")
         found = materialize(connected(links), "components")
     classes = (reps.select("set_key", "node").join(found, "node", "left")
