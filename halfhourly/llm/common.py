@@ -50,7 +50,7 @@ def rebatch(it: Iterator[pd.DataFrame], column: str, chars: int = 4_000_000) ->
     for pdf in it:
         if len(pdf) == 0:
             continue
-        size = pdf[column].str.len().fillna(0).to_numpy().astype(np.int64)
+        size = np.fromiter((len(t) if t is not None else 0 for t in pdf[column]), np.int64, len(pdf))
         piece = (np.cumsum(size) - size) // chars
         for k in np.unique(piece):
             yield pdf[piece == k].reset_index(drop=True)
