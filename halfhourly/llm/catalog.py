@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from halfhourly.llm import chaining, minhash, mixing, pii, quality, quotes, tokens, toxicity, warc, winnow
-from halfhourly.llm.common import table
+from halfhourly.llm.common import small_batches, table
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chaining.passages(table(spark, sf_dir, "documents"))
+    return chaining.passages(table(small_batches(spark), sf_dir, "documents"))
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """A session of the same application whose Arrow batches hold fewer rows, for rows of whole texts."""
+    own = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.checkpoint.dir"):
+        value = spark.conf.get(key, None)
+        if value is not None:
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    return own
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares (``spark.checkpoint.dir``).  Only a local
     master may go without it; elsewhere a machine-local folder would lose rows."""
@@ -80,7 +91,7 @@ def sorted_groups(it: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict]
 class WordHashes(dict):
     """Memo word -> 64-bit hash; emptied when it reaches ``limit`` entries."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 250_000):
         super().__init__()
         self.limit = limit
 
