@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MASK64 = (1 << 64) - 1
+_LOCAL: dict[str, str] = {}  # the folders of local applications
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
     """A session of the same application whose Arrow batches hold fewer rows, for rows of whole texts."""
     own = spark.newSession()
-    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.checkpoint.dir"):
-        value = spark.conf.get(key, None)
-        if value is not None:
-            own.conf.set(key, value)
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     return own
 
@@ -38,8 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="hh-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="hh-llm-"))
     return base
 
 
