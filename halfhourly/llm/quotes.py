@@ -96,18 +96,21 @@ def threads(nodes: DataFrame, links: DataFrame) -> DataFrame:
         .select("conv_id", "turn", F.col("p_conv").isNotNull().alias("by_quote"),
                 F.coalesce("p_conv", F.when(F.col("prev").isNotNull(), F.col("conv_id"))).alias("p_conv"),
                 F.coalesce("p_turn", "prev").alias("p_turn")), "tree")
-    at = tree.select("conv_id", "turn", F.coalesce("p_conv", "conv_id").alias("to_conv"),
-                     F.coalesce("p_turn", "turn").alias("to_turn"),
-                     F.when(F.col("p_conv").isNull(), 0).otherwise(1).cast("long").alias("depth"))
-    while True:
-        up = at.select(F.col("conv_id").alias("to_conv"), F.col("turn").alias("to_turn"),
-                       F.col("to_conv").alias("next_conv"), F.col("to_turn").alias("next_turn"), F.col("depth").alias("more"))
-        step = materialize(at.join(up, ["to_conv", "to_turn"])
-                           .select("conv_id", "turn", F.col("next_conv").alias("to_conv"), F.col("next_turn").alias("to_turn"),
-                                   (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved")), "pointers")
-        at = step.drop("moved")
-        if step.filter("moved").isEmpty():
+    root = F.col("p_conv").isNull()
+    at = materialize(tree.select("conv_id", "turn", F.coalesce("p_conv", "conv_id").alias("to_conv"),
+                                 F.coalesce("p_turn", "turn").alias("to_turn"),
+                                 F.when(root, 0).otherwise(1).cast("long").alias("depth"), root.alias("done")), "pointers")
+    while True:  # only messages that have not reached their root take part in a round
+        active = at.filter("NOT done")
+        if active.isEmpty():
             break
+        up = at.select(F.col("conv_id").alias("to_conv"), F.col("turn").alias("to_turn"), F.col("to_conv").alias("next_conv"),
+                       F.col("to_turn").alias("next_turn"), F.col("depth").alias("more"), F.col("done").alias("over"))
+        step = active.drop("done").join(up, ["to_conv", "to_turn"]).select(
+            "conv_id", "turn", F.col("next_conv").alias("to_conv"), F.col("next_turn").alias("to_turn"),
+            (F.col("depth") + F.col("more")).alias("depth"), F.col("over").alias("done"))
+        at = materialize(at.filter("done").unionByName(step), "pointers")
+    at = at.drop("done")
     return tree.join(at.withColumnsRenamed({"to_conv": "root_conv", "to_turn": "root_turn"}), ["conv_id", "turn"])
 
 

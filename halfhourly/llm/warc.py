@@ -39,7 +39,8 @@ from halfhourly.llm.common import materialize, new_path
 
 MIN_REVISIT = 100
 ROLL = 32 << 20      # compressed bytes a file
-SHARD = 64 << 20     # payload bytes a shard
+SHARD = 32 << 20     # payload bytes a shard
+BROADCAST_DIGESTS = 100_000  # about 10 MB
 SAMPLE = 32          # sampled keys a shard
 DATE = "2024-01-15T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -55,12 +56,15 @@ def _own(pages: DataFrame) -> DataFrame:
 
 
 def records(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, digest, size, refers_to, revisit per page.  Only payloads that occur at least
-    twice are joined back, so the texts are not shuffled for the rest."""
+    """page_id, url, html, digest, size, refers_to, revisit per page.  Only digests that occur at least twice
+    are joined back; while they are few as a broadcast, so the payloads are not shuffled for it."""
     own = _own(pages).withColumn("digest", F.sha2("html", 256))
     twice = (own.filter(F.col("size") >= MIN_REVISIT).groupBy("digest")
              .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
              .select(F.col("digest").alias("twin"), "first"))
+    twice = materialize(twice, "equal-payloads")
+    if twice.count() <= BROADCAST_DIGESTS:
+        twice = F.broadcast(twice)
     joined = own.join(twice, (F.col("digest") == F.col("twin")) & (F.col("size") >= MIN_REVISIT), "left")
     revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False))
     return joined.select("page_id", "url", "html", "digest", "size", revisit.alias("revisit"),
@@ -120,7 +124,8 @@ def write(pages: DataFrame, out: str, roll: int = ROLL, shard: int = SHARD) -> D
     cuts = bounds(own.select(_key().alias("key")), shards, total.n)
     where = F.lit(0) if not cuts else F.pandas_udf(
         lambda k, c=tuple(cuts): pd.Series(_search(c, k)), "int")(F.col("key"))
-    dealt = (made.withColumn("shard", where).repartition(shards, "shard")
+    # twice as many partitions as shards, so that few hash to the same task
+    dealt = (made.withColumn("shard", where).repartition(2 * shards, "shard")
              .sortWithinPartitions("shard", "key", "digest", F.col("revisit")))
     fs.FileSystem.from_uri(out)[0].create_dir(f"{fs.FileSystem.from_uri(out)[1]}/_temporary", recursive=True)
 
