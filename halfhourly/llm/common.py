@@ -6,6 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -20,13 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
-    """A session of the same application whose Arrow batches hold fewer rows, for rows of whole texts."""
-    own = spark.newSession()
-    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        own.conf.set(key, spark.conf.get(key))
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    return own
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500):
+    """Fewer rows in an Arrow batch for what is written inside the block: rows of whole texts or long arrays.
+    (A session of its own would start Python workers of its own.)"""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def shared_dir(spark: SparkSession) -> str:
