@@ -339,6 +339,7 @@ def components(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, columns as they were."""
-    keep = components(docs, size, percent).filter("kept").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+    """The rows of ``docs`` whose doc_id is the smallest of its component, columns as they were.  Rows that
+    share that doc_id stay together; rows without a doc_id stay, nothing tells which of them to drop."""
+    drop = components(docs, size, percent).filter("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct()
+    return docs.join(drop, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

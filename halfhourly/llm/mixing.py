@@ -155,16 +155,16 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def apply(docs: DataFrame) -> DataFrame:
     """The mixture: the rows of ``docs`` that it takes, with ``copies`` whole copies and the first
-    ``slice_words`` words of one more.  Rows that share doc_id, source and size share a decision in turn."""
+    ``slice_words`` words of one more (columns of these names in ``docs`` give way).  Rows that share doc_id, source and size share a decision in turn."""
     key = lambda size: F.xxhash64("doc_id", "source", size)
-    turn = lambda *by: F.row_number().over(Window.partitionBy("k_").orderBy(*by))
-    plan = (mix(docs).withColumn("k_", key("size"))
-            .withColumn("turn_", turn(F.desc("copies"), F.desc("slice_words")))
-            .filter("copies > 0 OR slice_words > 0").select(F.col("k_").alias("plan_"), "turn_", "copies", "slice_words"))
+    turn = lambda *by: F.row_number().over(Window.partitionBy("__mix_k").orderBy(*by))
+    plan = (mix(docs).withColumn("__mix_k", key("size"))
+            .withColumn("__mix_turn", turn(F.desc("copies"), F.desc("slice_words")))
+            .filter("copies > 0 OR slice_words > 0").select(F.col("__mix_k").alias("__mix_plan"), "__mix_turn", "copies", "slice_words"))
     keep = [c for c in docs.columns if c not in ("copies", "slice_words")]
     own = (docs.select(*[F.col(f"`{c}`") for c in keep])
-           .withColumn("size_", F.expr(_SIZE)).withColumn("k_", key("size_"))
-           .withColumn("mine_", turn(F.xxhash64("text"))))
+           .withColumn("__mix_size", F.expr(_SIZE)).withColumn("__mix_k", key("__mix_size"))
+           .withColumn("__mix_mine", turn(F.xxhash64("text"))))
     # one key only, so that the texts are dealt once for the window and the join
-    return (own.join(plan, (F.col("k_") == F.col("plan_")) & (F.col("mine_") - F.col("turn_") == 0))
+    return (own.join(plan, (F.col("__mix_k") == F.col("__mix_plan")) & (F.col("__mix_mine") - F.col("__mix_turn") == 0))
             .select(*[F.col(f"`{c}`") for c in keep], "copies", "slice_words"))

@@ -28,14 +28,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halfhourly.llm.common import materialize
+from halfhourly.llm.common import let, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.6
 ROUNDS = 3
 DAMPING = 0.9
-CONTEXT = 64  # code points before a span that its two context words come from
+STEP = 128
+CONTEXT = 64  # code points before a span, back to the match before, that its context words come from
 
 #: Linear forms of the base patterns.
 PATTERNS = {
@@ -72,23 +73,27 @@ def _quoted(pattern: str) -> str:
 
 
 def _matches(kind: str, pattern: str) -> str:
-    """SQL for array<struct<v, s, e>>: a kind's valid matches with their offsets.  The pieces between
-    the matches give the offsets: start = all earlier pieces and matches."""
+    """SQL for array<struct<v, s, e, c>>: a kind's valid matches with their offsets.  The pieces between
+    the matches give the offsets: start = all earlier pieces and matches, summed in steps of STEP matches
+    so that a text of very many matches stays near linear."""
     p = _quoted(pattern)
-    found = (f"aggregate(zip_with(regexp_extract_all(text, {p}, 0), slice(split(text, {p}, -1), 1, "
-             f"size(regexp_extract_all(text, {p}, 0))), (m, g) -> struct(m, g)), "
-             "named_struct('at', 0, 'out', slice(array(named_struct('v', '', 's', 0, 'e', 0)), 1, 0)), "
-             "(a, x) -> named_struct('at', a.at + length(x.g) + length(x.m), 'out', concat(a.out, array(named_struct("
-             "'v', x.m, 's', a.at + length(x.g), 'e', a.at + length(x.g) + length(x.m))))), a -> a.out)")
+    add = "0, (a, x) -> a + x"
+    before = (f"get(starts, cast(i div {STEP} as int)) + aggregate(slice(lens, cast(i div {STEP} as int) * {STEP} + 1, "
+              f"i % {STEP}), {add}) + length(get(gs, i))")
+    found = let("gs", f"split(text, {p}, -1)", let("lens", "zip_with(ms, slice(gs, 1, size(ms)), (m, g) -> length(m) + length(g))", let(
+        "sums", f"transform(sequence(0, cast((size(ms) - 1) div {STEP} as int)), j -> aggregate(slice(lens, j * {STEP} + 1, {STEP}), {add}))",
+        let("starts", f"transform(sequence(0, size(sums) - 1), j -> aggregate(slice(sums, 1, j), {add}))",
+            f"transform(transform(ms, (m, i) -> named_struct('v', m, 's', {before}, 'c', right(get(gs, i), {CONTEXT}))), "
+            "x -> named_struct('v', x.v, 's', x.s, 'e', x.s + length(x.v), 'c', x.c))"))))
+    none = "slice(array(named_struct('v', '', 's', 0, 'e', 0, 'c', '')), 1, 0)"
+    found = let("ms", f"regexp_extract_all(text, {p}, 0)", f"if(size(ms) = 0, {none}, {found})")
     return (f"if(text is not null and {_NEEDS[kind]}, filter({found}, m -> {_VALID[kind]}), "
-            "slice(array(named_struct('v', '', 's', 0, 'e', 0)), 1, 0))")
+            "slice(array(named_struct('v', '', 's', 0, 'e', 0, 'c', '')), 1, 0))")
 
 
-def _context(start: str) -> str:
-    """The two words before a span, lower case, digits as 0; '' if there are fewer in reach."""
-    before = f"substring(text, greatest({start} - {CONTEXT} + 1, 1), least({start}, {CONTEXT}))"
-    pair = f"regexp_extract({before}, '(\\\\S+)\\\\s+(\\\\S+)\\\\s*$', 0)"
-    return f"trim(regexp_replace(regexp_replace(lower({pair}), '[0-9]+', '0'), '\\\\s+', ' '))"
+#: The two words that end a match's preceding piece, lower case, digits as 0; '' if there are fewer.
+_CTX = ("trim(regexp_replace(regexp_replace(lower(regexp_extract(m.c, '(\\\\S+)\\\\s+(\\\\S+)\\\\s*$', 0)), "
+        "'[0-9]+', '0'), '\\\\s+', ' '))")
 
 
 def base(docs: DataFrame) -> DataFrame:
@@ -98,7 +103,7 @@ def base(docs: DataFrame) -> DataFrame:
     spans = "array_sort(concat(" + ", ".join(
         f"transform({k}, m -> named_struct('s', m.s, 'k', {i}, 'e', m.e))" for i, k in enumerate(KINDS)) + "))"
     seeds = "concat(" + ", ".join(
-        f"transform({k}, m -> named_struct('k', {i}, 'token', m.v, 's', m.s, 'e', m.e, 'ctx', {_context('m.s')}))"
+        f"transform({k}, m -> named_struct('k', {i}, 'token', m.v, 's', m.s, 'e', m.e, 'ctx', {_CTX}))"
         for i, k in enumerate(KINDS)) + ")"
     covered = " or ".join(f"exists({k}, b -> b.s < m.e and m.s < b.e)" for k in KINDS)
     unknown = f"filter(token, m -> not ({covered}))"
@@ -106,7 +111,7 @@ def base(docs: DataFrame) -> DataFrame:
     unknown = (f"filter(transform({unknown}, m -> named_struct('k', -1, 'token', "
                "regexp_extract(m.v, '^[\"\\'(<\\\\[]*+(.*?)[\"\\',;:.!?)>\\\\]]*$', 1), "
                "'s', m.s + length(regexp_extract(m.v, '^[\"\\'(<\\\\[]*+', 0)), 'e', 0, "
-               f"'ctx', {_context('m.s')})), u -> length(u.token) >= 5)")
+               f"'ctx', {_CTX})), u -> length(u.token) >= 5)")
     unknown = f"transform({unknown}, u -> named_struct('k', u.k, 'token', u.token, 's', u.s, 'e', u.s + length(u.token), 'ctx', u.ctx))"
     return kinds.select("doc_id", F.xxhash64("text").alias("text_key"), F.expr(spans).alias("spans"),
                         F.expr(f"filter(concat({seeds}, {unknown}), u -> u.ctx <> '')").alias("near"))
@@ -166,17 +171,17 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans are replaced once,
     under the first one's kind.  Other columns stay, n_chars too follows the new text if there is one."""
     own = (_all_spans(docs).filter("size(spans) + size(more) > 0")
-           .select(F.col("doc_id").alias("d_"), F.col("text_key").alias("t_"),
-                   F.array_sort(F.concat("spans", "more")).alias("spans_")).distinct())
+           .select(F.col("doc_id").alias("__pii_d"), F.col("text_key").alias("__pii_t"),
+                   F.array_sort(F.concat("spans", "more")).alias("__pii_spans")).distinct())
     names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
-    text = ("aggregate(spans_, named_struct('at', 0, 'out', ''), (a, x) -> if(x.s < a.at, "
+    text = ("aggregate(__pii_spans, named_struct('at', 0, 'out', ''), (a, x) -> if(x.s < a.at, "
             "named_struct('at', greatest(a.at, x.e), 'out', a.out), named_struct('at', x.e, 'out', "
             f"concat(a.out, substring(text, a.at + 1, x.s - a.at), element_at(array({names}), x.k + 1)))), "
             "a -> concat(a.out, substring(text, a.at + 1)))")
-    joined = docs.withColumn("k_", F.xxhash64("text")).join(
-        own, F.col("doc_id").eqNullSafe(F.col("d_")) & (F.col("k_") == F.col("t_")), "left")
-    out = joined.withColumn("text", F.when(F.col("spans_").isNull(), F.col("text")).otherwise(F.expr(text)))
+    joined = docs.withColumn("__pii_k", F.xxhash64("text")).join(
+        own, F.col("doc_id").eqNullSafe(F.col("__pii_d")) & (F.col("__pii_k") == F.col("__pii_t")), "left")
+    out = joined.withColumn("text", F.when(F.col("__pii_spans").isNull(), F.col("text")).otherwise(F.expr(text)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans_").isNull(), F.col("n_chars"))
+        out = out.withColumn("n_chars", F.when(F.col("__pii_spans").isNull(), F.col("n_chars"))
                              .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

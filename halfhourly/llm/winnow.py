@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halfhourly.llm.common import materialize
+from halfhourly.llm.common import let, materialize
 
 K, W = 6, 5
 WINDOW = K + W - 1
@@ -43,12 +43,6 @@ def words_sql(column: str = "text") -> str:
     return _WORDS.format(column)
 
 
-def let(name: str, value: str, body: str) -> str:
-    """``body`` with ``name`` bound to ``value``, evaluated once a row.  A plain projected column
-    would be inlined into lambdas by the optimiser and computed again for every element."""
-    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
-
-
 def _grams(k: int) -> str:
     args = ", ".join(f"get(h, i + {j})" for j in range(k))
     return f"if(size(h) >= {k}, transform(sequence(0, size(h) - {k}), i -> xxhash64({k}, {args})), array())"
@@ -122,5 +116,5 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any hit word, columns as they were."""
-    dirty = hits(docs, benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("dirty_id")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("dirty_id")), "left_anti")
+    dirty = hits(docs, benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("__dirty_id")).distinct()
+    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("__dirty_id")), "left_anti")
