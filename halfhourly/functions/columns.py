@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from halfhourly.schemas import INTENSITY_BANDS, TARIFF_CODE_PREFIX
 
 __all__ = [
-    "ts_lit", "half_hour", "half_hour_end", "plus_minutes", "plus_hours", "plus_days",
-    "day_of", "share_pct", "band_of_forecast", "band_code", "band_from_code",
+    "ts_lit", "utc_naive", "half_hour", "plus_minutes", "plus_hours",
+    "share_pct", "band_of_forecast", "band_code", "band_from_code",
     "band_class", "display_value", "is_forecast", "parse_iso_utc", "parse_naive_utc",
     "format_request_ts", "tariff_code", "tariff_letter", "slugify", "sequence_of", "oldest_sequence",
     "utc_wall_clock",
@@ -25,10 +25,15 @@ BAND_THRESHOLDS = [50, 120, 200, 300]
 
 
 def ts_lit(value: str | datetime) -> Column:
-    """A timezone-free timestamp literal (folds to a constant, pushes to scans)."""
-    if isinstance(value, datetime):
-        value = value.strftime("%Y-%m-%d %H:%M:%S")
-    return F.lit(value).cast("timestamp_ntz")
+    """A timezone-free timestamp literal (folds to a constant, pushes to scans).
+    A value with an offset is converted to UTC; microseconds are kept."""
+    return F.lit(utc_naive(value).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def utc_naive(value: str | datetime) -> datetime:
+    """The UTC wall clock of an instant; a value without an offset is UTC already."""
+    at = value if isinstance(value, datetime) else datetime.fromisoformat(str(value))
+    return at.astimezone(timezone.utc).replace(tzinfo=None) if at.tzinfo else at
 
 
 def half_hour(ts: Column | str) -> Column:
@@ -44,19 +49,6 @@ def plus_hours(c: Column, hours: int) -> Column:
     return c + F.make_dt_interval(F.lit(0), F.lit(hours))
 
 
-def plus_days(c: Column, days: int) -> Column:
-    return c + F.make_dt_interval(F.lit(days))
-
-
-def half_hour_end(start: Column) -> Column:
-    return plus_minutes(start, 30)
-
-
-def day_of(ts: Column | str) -> Column:
-    """UTC calendar day of an instant (the lake partition value)."""
-    return F.to_date(ts if isinstance(ts, Column) else F.col(ts))
-
-
 def share_pct(mw: Column, total: Column) -> Column:
     """Percentage of the period total; NULL unless the total is positive."""
     return F.when(total > 0, F.lit(100.0) * mw.cast("double") / total.cast("double"))

@@ -27,6 +27,7 @@ from halfhourly.plans import build, reads
 from halfhourly.schemas import (
     ARCHIVE_LOOKBACK_DAYS, CARBON_SCHEMA, HOT_RETENTION_DAYS, LAKE_TABLES, MIX_SCHEMA, PRICE_SCHEMA,
 )
+from halfhourly.functions.columns import utc_naive
 from halfhourly.session import get_spark
 from halfhourly.sources import payloads
 from halfhourly.streaming import ingest
@@ -36,7 +37,7 @@ HOT = {"carbon_intensity": CARBON_SCHEMA, "agile_price": PRICE_SCHEMA, "generati
 
 def _as_of(v: str | None) -> str:
     if v:
-        return datetime.fromisoformat(v).strftime("%Y-%m-%d %H:%M:%S")
+        return utc_naive(v).isoformat(sep=" ")
     return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:00")
 
 
@@ -76,11 +77,16 @@ def run_query(spark, a) -> dict:
         df, secs = reads.ad_hoc(spark, a.sql, views, **params)
     else:
         df, secs = reads.monthly_intensity(views["carbon_intensity"], _as_of(a.as_of)), 0.0
-    rows = df.limit(a.max_rows).collect()  # display only; the limit is the feature
+    if a.out:
+        df.write.mode("overwrite").parquet(a.out)
+        return {"rows": spark.read.parquet(a.out).count(), "out": a.out, "plan_seconds": round(secs, 3)}
+    # every row, a partition at a time; a preview only when asked for
     print("\t".join(df.columns))
-    for r in rows:
+    n = 0
+    for r in (df if a.preview is None else df.limit(a.preview)).toLocalIterator():
         print("\t".join("" if v is None else str(v) for v in r))
-    return {"rows_shown": len(rows), "plan_seconds": round(secs, 3)}
+        n += 1
+    return {"rows_shown": n, "complete": a.preview is None, "plan_seconds": round(secs, 3)}
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -108,7 +114,8 @@ def main(argv: list[str] | None = None) -> dict:
     s.add_argument("--sql", help="default: monthly national averages, last 24 months")
     s.add_argument("--param", action="append", default=[])
     s.add_argument("--as-of")
-    s.add_argument("--max-rows", type=int, default=100)
+    s.add_argument("--out", help="write the whole result as Parquet to this path")
+    s.add_argument("--preview", type=int, help="print only so many rows")
     a = p.parse_args(argv)
     spark = get_spark(app=f"halfhourly-{a.cmd}")
     out = {"ingest": run_ingest, "build": run_build, "archive": run_archive, "expire": run_expire,

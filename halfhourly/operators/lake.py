@@ -106,44 +106,38 @@ def observed(obs: Observation, fallback) -> dict:
         return fallback()
 
 
-# Up to this many days, rows are counted per day during the write; beyond it
-# (backfills over years) only the set of days that received rows is observed.
-MAX_COUNTED_DAYS = 62
+def _written_counts(spark: SparkSession, path: str, days: Iterable[date], schema: T.StructType) -> dict[date, int]:
+    """Rows per day of the files just written: one grouped aggregate, metadata columns only."""
+    rows = (spark.read.schema(schema).parquet(path).filter(F.col(DAY).isin(*days)).groupBy(DAY).count().collect()
+            if days else [])
+    return {r[0]: r[1] for r in rows}
 
 
-def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> dict[date, int | None]:
+def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> dict[date, int]:
     """Replace exactly ``days`` of the table at ``path`` with the rows of
     ``df`` for those days; a day without rows ends up empty.  Returns rows
-    written per day (``None`` = rows written, not counted, for long lists).
+    written per day.
 
-    What was written is observed during the write itself, so the input is
-    computed once: one ``count_if`` per day for short lists, else the set of
-    days present (bounded by ``len(days)``).  Days that received no rows are
-    then deleted explicitly.
+    The set of days that received rows (bounded by ``len(days)``) is observed during the
+    write; the other days are deleted explicitly, and the rows are then counted per
+    day from the written files, for any number of days.  Readers may see the new files
+    before an empty day is gone.
     """
     spark = df.sparkSession
     days = [_as_date(d) for d in days]
     obs = Observation(f"days_{uuid.uuid4().hex}")
     selected = df.filter(F.col(DAY).isin(*days))
-    counted = len(days) <= MAX_COUNTED_DAYS
-    if counted:
-        metrics_exprs = [F.count_if(F.col(DAY) == F.lit(d)).alias(f"d{i}") for i, d in enumerate(days)]
-    else:
-        metrics_exprs = [F.collect_set(DAY).alias("present")]
-    part = selected.observe(obs, *metrics_exprs)
+    present_days = F.collect_set(DAY).alias("present")
     # rebalance: cluster by day but let AQE split a large day over several
     # tasks/files and merge small ones (a plain repartition would put each
     # day in exactly one task).
-    (part.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY)
+    (selected.observe(obs, present_days).hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
-    metrics = observed(obs, lambda: selected.agg(*metrics_exprs).first().asDict())
-    if counted:
-        written = {d: int(metrics.get(f"d{i}") or 0) for i, d in enumerate(days)}
-    else:
-        present = set(metrics.get("present") or [])
-        written = {d: (None if d in present else 0) for d in days}
-    drop_partitions(spark, path, [d for d, n in written.items() if n == 0])
-    return written
+    metrics = observed(obs, lambda: selected.agg(present_days).first().asDict())
+    present = sorted(set(metrics.get("present") or []))
+    drop_partitions(spark, path, [d for d in days if d not in present])
+    counts = _written_counts(spark, path, present, selected.schema)
+    return {d: counts.get(d, 0) for d in days}
 
 
 def archive_days(as_of, lookback: int = ARCHIVE_LOOKBACK_DAYS) -> list[date]:
@@ -207,16 +201,21 @@ def scan_day(df: DataFrame, day) -> DataFrame:
 
 
 def ensure_tables(spark: SparkSession, lake_root: str, database: str = "lake") -> int:
-    """Register the archive tables (Parquet, partitioned by day) if missing;
-    returns how many were created."""
+    """Register the archive tables (Parquet, partitioned by day) if missing and take up the
+    days that their folders hold (call it again after an archive); returns how many were created."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     created = 0
     for name in ("carbon_intensity", "generation_mix", "agile_price"):
+        fs, folder = _fs(spark, f"{lake_root}/{name}")
+        if not fs.exists(folder):
+            fs.mkdirs(folder)
         if spark.catalog.tableExists(f"{database}.{name}"):
+            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
             continue
         cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lake_schema(name).fields)
         spark.sql(f"CREATE TABLE {database}.{name} ({cols}, {DAY} date) USING parquet "
                   f"PARTITIONED BY ({DAY}) LOCATION '{lake_root}/{name}'")
+        spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
         created += 1
     return created
 
@@ -281,7 +280,7 @@ def archive_tables(spark: SparkSession, state_root: str, lake_root: str, as_of,
     return archive(tables, lake_root, as_of, lookback)
 
 
-def backfill(rows: DataFrame, lake_root: str, table: str = "carbon_intensity") -> dict[date, int | None]:
+def backfill(rows: DataFrame, lake_root: str, table: str = "carbon_intensity") -> dict[date, int]:
     """Load history rows (e.g. parsed national payloads) straight into the
     lake, bypassing the hot table.  Every day present is overwritten (dynamic
     partition overwrite), so the backfill can be re-run without duplicating
@@ -292,4 +291,4 @@ def backfill(rows: DataFrame, lake_root: str, table: str = "carbon_intensity") -
     (lake_rows.observe(obs, *exprs).hint("rebalance", DAY).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(f"{lake_root}/{table}"))
     present = observed(obs, lambda: lake_rows.agg(*exprs).first().asDict()).get("present") or []
-    return {d: None for d in sorted(present)}
+    return _written_counts(lake_rows.sparkSession, f"{lake_root}/{table}", sorted(present), lake_rows.schema)

@@ -127,8 +127,3 @@ def best_slots_24h(hh: DataFrame, as_of, hours: int = 24) -> DataFrame:
     return ranked.select(
         "region_id", ts_lit(as_of).alias("computed_at_utc"), "period_start_utc", "period_end_utc",
         "price_pence_per_kwh_inc_vat", "forecast_gco2_per_kwh", "cheapest_rank", "greenest_rank")
-
-
-def top_slots(mart: DataFrame, rank_col: str, k: int) -> DataFrame:
-    """Top-k slots per region by a precomputed rank (a plain filter)."""
-    return mart.filter(F.col(rank_col) <= k)

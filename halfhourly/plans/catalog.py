@@ -338,9 +338,9 @@ def q_price_with_region(spark, sf_dir):
 
 
 def q_price_at_events(spark, sf_dir):
-    """Tariff in force at every purchase (whole events table)."""
+    """Tariff in force at every event (whole events table)."""
     t = Tables(spark, sf_dir)
-    pts = t.events.filter(F.col("event_type") == "purchase").select(
+    pts = t.events.select(
         "event_id", "ts", (F.col("user_id") % 15).cast("int").alias("region_id"))
     return reads.prices_at(t.price(), pts).select(
         "event_id", "ts", "region_id", "period_start_utc", "price_pence_per_kwh_inc_vat")
@@ -781,8 +781,7 @@ FROM (SELECT event_id,
 ORACLE["price_at_events"] = _with(
     "SELECT e.event_id, e.ts, CAST(e.user_id % 15 AS INTEGER) AS region_id, p.period_start_utc, "
     "p.price_pence_per_kwh_inc_vat FROM events e JOIN price p "
-    "ON p.region_id = CAST(e.user_id % 15 AS INTEGER) AND p.period_start_utc <= e.ts AND e.ts < p.period_end_utc "
-    "WHERE e.event_type = 'purchase'")
+    "ON p.region_id = CAST(e.user_id % 15 AS INTEGER) AND p.period_start_utc <= e.ts AND e.ts < p.period_end_utc")
 
 ORACLE["dq_check_summary"] = (
     ORACLE["dq_not_null"].replace("WITH ", "WITH report AS (WITH ", 1)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halfhourly.functions.columns import (
-    band_class, band_code, band_from_code, display_value, is_forecast, plus_hours, ts_lit,
+    band_class, band_code, band_from_code, display_value, is_forecast, plus_hours, ts_lit, utc_naive,
 )
 from halfhourly.schemas import (
     DEFAULT_PRICE_REGION_ID, FIRST_DNO_REGION_ID, LAST_DNO_REGION_ID, MAX_RANGE_DAYS,
@@ -34,7 +34,7 @@ REGION_COLS = ["region_id", "canonical_code", "slug", "name", "octopus_code"]
 # ---------------------------------------------------------------------------
 
 def _to_dt(v) -> datetime:
-    return v if isinstance(v, datetime) else datetime.fromisoformat(str(v))
+    return utc_naive(v)
 
 
 def check_window(from_ts, to_ts, max_days: int = MAX_RANGE_DAYS) -> None:
@@ -43,7 +43,7 @@ def check_window(from_ts, to_ts, max_days: int = MAX_RANGE_DAYS) -> None:
     if b <= a:
         raise ValueError("range end must be after its start")
     if b - a > timedelta(days=max_days):
-        raise ValueError(f"range must be <= {max_days} days")
+        raise ValueError(f"a window may span {max_days} days, not more")
 
 
 def require_dno(region_id: int | None) -> None:
@@ -184,8 +184,8 @@ def price_current(price: DataFrame, as_of, region_id: int | None = None) -> Data
 
 
 def prices_at(price: DataFrame, points: DataFrame, ts_col: str = "ts") -> DataFrame:
-    """Batch interval containment: every tariff interval containing each point
-    (``start <= t < end``) of the same region.
+    """Batch interval containment: the newest tariff interval containing each distinct
+    point (``start <= t < end``) of the same region.
 
     A range join rewritten as an equi-join: each interval is expanded into
     the half-hour buckets it covers (one bucket for a half-hourly tariff),
@@ -204,7 +204,9 @@ def prices_at(price: DataFrame, points: DataFrame, ts_col: str = "ts") -> DataFr
     pts = points.withColumn("_bucket", F.window(ts_col, "30 minutes").start)
     joined = pts.join(buckets, ["region_id", "_bucket"], "inner").filter(
         (F.col("period_start_utc") <= F.col(ts_col)) & (F.col(ts_col) < F.col("period_end_utc")))
-    return joined.drop("_bucket")
+    tariff = ["period_start_utc", "period_end_utc", "price_pence_per_kwh_inc_vat", "price_pence_per_kwh_exc_vat"]
+    newest = F.max_by(F.struct(*tariff), F.struct("period_start_utc", "period_end_utc")).alias("_t")
+    return joined.groupBy(*points.columns).agg(newest).select(*points.columns, "_t.*")
 
 
 def price_range(price: DataFrame, from_ts, to_ts, region_id: int | None = None) -> DataFrame:

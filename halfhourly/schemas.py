@@ -87,10 +87,9 @@ TARIFF_CODE_PREFIX = "E-1R-"
 MAX_RANGE_DAYS = 14
 BACKFILL_CHUNK_DAYS = 14
 
-# Archive rewrites yesterday and the day before; log versions are kept 30 days;
+# Archive rewrites yesterday and the day before;
 # the hot tables keep 90 days.
 ARCHIVE_LOOKBACK_DAYS = 2
-LOG_KEEP_DAYS = 30
 HOT_RETENTION_DAYS = 90
 
 # Staleness limits in seconds (two half-hourly feeds, then the daily price feed).
@@ -145,13 +144,6 @@ REGION_SCHEMA = T.StructType([
     T.StructField("notes", T.StringType(), True),
 ])
 
-# Landed payload: one JSON document per row.
-PAYLOAD_SCHEMA = T.StructType([
-    T.StructField("payload", T.StringType(), False),
-    T.StructField("received_at", TS, True),
-    T.StructField("source", T.StringType(), True),
-])
-
 # Natural keys.
 CARBON_KEY = ["region_id", "period_start_utc"]
 PRICE_KEY = ["region_id", "period_start_utc"]

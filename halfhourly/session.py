@@ -28,6 +28,9 @@ REQUIRED_CONF = {
 }
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def get_spark(master: str | None = None, app: str = "halfhourly",
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
@@ -60,13 +63,18 @@ def get_spark(master: str | None = None, app: str = "halfhourly",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (distributed) folder there; we only invent one
-    when the setting is absent, which happens in local tests.
+    A cluster names a shared (distributed) folder there; one is invented only for a
+    local master, where driver and executors are one process.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="halfhourly-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+        master = spark.sparkContext.master
+        if not master.startswith("local") or "cluster" in master:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_DIRS:
+            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="halfhourly-ckpt-")
+        current = _LOCAL_DIRS[app]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current

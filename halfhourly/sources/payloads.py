@@ -49,16 +49,6 @@ PRICE_WIRE = _struct(count=D, results=T.ArrayType(_struct(
     value_exc_vat=D, value_inc_vat=D, valid_from=S, valid_to=S, payment_method=S)))
 
 
-def read_payloads(spark: SparkSession, path: str | list[str], source: str) -> DataFrame:
-    """Landed files -> ``(payload, received_at, source, file)``; one document per file."""
-    df = spark.read.option("wholetext", "true").text(path)
-    return df.select(
-        F.col("value").alias("payload"),
-        utc_wall_clock(F.col("_metadata.file_modification_time")).alias("received_at"),
-        F.lit(source).alias("source"),
-        F.col("_metadata.file_path").alias("file"))
-
-
 def _file_key(payloads: DataFrame) -> Column:
     """A deterministic per-file tiebreak (files landed in the same instant
     must merge in the same order on every run and replay)."""

@@ -19,16 +19,16 @@ day-partitioned hot table, rewriting only the days the batch touches.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from halfhourly.functions.columns import utc_wall_clock
-from halfhourly.operators import lake, merge
-from halfhourly.schemas import (
-    CARBON_KEY, CARBON_SCHEMA, MIX_KEY, MIX_SCHEMA, PRICE_KEY, PRICE_SCHEMA,
+from halfhourly.functions.columns import tariff_letter, utc_wall_clock
+from halfhourly.operators import lake, merge, quality
+from halfhourly.schemas import ( CARBON_SCHEMA, MIX_KEY, MIX_SCHEMA, PRICE_KEY, PRICE_SCHEMA,
 )
 from halfhourly.sources import contracts, payloads
 
@@ -89,15 +89,24 @@ def check(batch: DataFrame, sources: list[str]) -> DataFrame:
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, table: str, state_root: str,
-                  quarantine_root: str, dim: DataFrame | None = None) -> dict:
-    """Contract split -> quarantine append -> parse -> merge into touched days."""
+                  quarantine_root: str, dim: DataFrame | None = None, batch_id: str | int = "once") -> dict:
+    """Contract split -> quarantine -> parse -> merge into touched days.  The quarantine is kept by
+    ``batch_id`` and a replay overwrites its own, so it never doubles."""
     sources = TABLE_SOURCES[table]
-    checked = check(batch, sources).persist()
+    checked = check(batch, sources)
+    if "prices" in sources and dim is not None:
+        # the tariff letter decides the region: without a known one the document is set aside, not lost
+        letters = quality.broadcast_if_small(dim.select(F.col("octopus_code").alias("_letter")).filter("_letter IS NOT NULL").distinct())
+        checked = (checked.join(letters, tariff_letter(F.col("tariff_code")) == F.col("_letter"), "left")
+                   .withColumn("violations", F.when(F.col("_letter").isNotNull(), F.col("violations")).otherwise(
+                       F.array_append("violations", F.lit("unknown tariff code")))).drop("_letter"))
+    checked = checked.persist()
     try:
         bad = checked.filter(F.size("violations") > 0)
         good = checked.filter(F.size("violations") == 0).drop("violations")
         (bad.select("source", "file", "received_at", "payload", "violations")
-         .write.mode("append").partitionBy("source").parquet(os.path.join(quarantine_root, table)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("source")
+         .parquet(os.path.join(quarantine_root, table, f"batch_id={batch_id}")))
         rows = None
         for src in sources:
             part = parse(src, good.filter(F.col("source") == src), dim)
@@ -125,7 +134,7 @@ def _ensure_dir(spark: SparkSession, path: str) -> None:
 
 def _source_of(file: Column, sources: list[str]) -> Column:
     """Feed name = the landing sub-folder the file sits in."""
-    pat = r"/(" + "|".join(sources) + r")/"
+    pat = r"^.*/(" + "|".join(sources) + r")/[^/]+(?:/[^/]+)?$"  # the last match: folders above the root may share a name
     return F.regexp_extract(file, pat, 1)
 
 
@@ -175,7 +184,7 @@ def ingest_stream(spark: SparkSession, landing_root: str, state_root: str, check
         stream = payload_stream(spark, landing_root, table, max_files_per_trigger)
 
         def run(batch_df: DataFrame, batch_id: int, _t=table) -> None:
-            process_batch(spark, batch_df, _t, state_root, quarantine_root, dim)
+            process_batch(spark, batch_df, _t, state_root, quarantine_root, dim, batch_id)
 
         w = (stream.writeStream.foreachBatch(run)
              .option("checkpointLocation", os.path.join(checkpoint_root, table))
@@ -189,18 +198,10 @@ def ingest_batch(spark: SparkSession, landing_root: str, state_root: str, quaran
                  table: str, dim: DataFrame | None = None) -> dict:
     """The same work as one big micro-batch (backfills, tests: stream == batch)."""
     sources = TABLE_SOURCES[table]
+    for src in sources:
+        _ensure_dir(spark, os.path.join(landing_root, src))
     paths = [os.path.join(landing_root, "prices", "*") if s == "prices" else os.path.join(landing_root, s)
              for s in sources]
     df = spark.read.option("wholetext", "true").text(paths)
-    return process_batch(spark, _payload_columns(df, sources), table, state_root, quarantine_root, dim)
-
-
-def deduplicated_view(stream: DataFrame, keys=CARBON_KEY, watermark: str = "2 days") -> DataFrame:
-    """Streaming de-duplication of parsed rows by natural key, keeping state
-    only for a 2-day watermark (the archive's late-data horizon)."""
-    # Event-time watermarks need TIMESTAMP (not _NTZ); with the session zone
-    # pinned to UTC the cast keeps the instant.
-    return (stream.withColumn("_event_time", F.col("period_start_utc").cast("timestamp"))
-            .withWatermark("_event_time", watermark)
-            .dropDuplicatesWithinWatermark(list(keys))
-            .drop("_event_time"))
+    return process_batch(spark, _payload_columns(df, sources), table, state_root, quarantine_root, dim,
+                         f"backfill-{hashlib.sha256(landing_root.encode()).hexdigest()[:12]}")

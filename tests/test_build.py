@@ -38,8 +38,8 @@ def test_build_writes_marts_and_reports(spark, tmpdir_path):
 
 
 def test_backfill_is_rerunnable(spark, tmpdir_path):
-    docs = [(dumps(NATIONAL), datetime(2026, 5, 21, 14, 31), "national"),
-            (dumps(NATIONAL_NULL_ACTUAL), datetime(2026, 5, 21, 15, 1), "national")]
+    docs = [(dumps(NATIONAL), datetime(2027, 7, 11, 14, 31), "national"),
+            (dumps(NATIONAL_NULL_ACTUAL), datetime(2027, 7, 11, 15, 1), "national")]
     p = spark.createDataFrame(docs, "payload string, received_at timestamp_ntz, source string")
     rows = payloads.parse_national(p)
     root = os.path.join(tmpdir_path, "lake")
@@ -96,13 +96,13 @@ def test_tariff_code_round_trip(spark):
 
 def test_prices_at_handles_long_intervals_and_boundaries(spark):
     price = spark.createDataFrame(
-        [(1, datetime(2026, 5, 21, 10, 0), datetime(2026, 5, 21, 11, 15), 20.0, 19.0),
-         (1, datetime(2026, 5, 21, 11, 15), datetime(2026, 5, 21, 11, 30), 30.0, 28.0)],
+        [(1, datetime(2027, 7, 11, 10, 0), datetime(2027, 7, 11, 11, 15), 20.0, 19.0),
+         (1, datetime(2027, 7, 11, 11, 15), datetime(2027, 7, 11, 11, 30), 30.0, 28.0)],
         "region_id int, period_start_utc timestamp_ntz, period_end_utc timestamp_ntz, "
         "price_pence_per_kwh_inc_vat double, price_pence_per_kwh_exc_vat double")
     pts = spark.createDataFrame(
-        [(1, datetime(2026, 5, 21, 10, 59), 1), (2, datetime(2026, 5, 21, 11, 15), 1),
-         (3, datetime(2026, 5, 21, 11, 30), 1), (4, datetime(2026, 5, 21, 10, 5), 2)],
+        [(1, datetime(2027, 7, 11, 10, 59), 1), (2, datetime(2027, 7, 11, 11, 15), 1),
+         (3, datetime(2027, 7, 11, 11, 30), 1), (4, datetime(2027, 7, 11, 10, 5), 2)],
         "event_id long, ts timestamp_ntz, region_id int")
     got = {r.event_id: r.price_pence_per_kwh_inc_vat for r in reads.prices_at(price, pts).collect()}
     assert got == {1: 20.0, 2: 30.0}

@@ -10,7 +10,7 @@ from halfhourly.sources import contracts, payloads
 from payload_fixtures import NATIONAL, NATIONAL_NULL_ACTUAL, dumps, generation_mix, prices, regional
 
 
-def _frame(spark, docs, received="2026-05-21 14:31:00", extra=None):
+def _frame(spark, docs, received="2027-07-11 14:31:00", extra=None):
     rows = [(dumps(d), datetime.fromisoformat(received), "test") + tuple(extra or ()) for d in docs]
     cols = "payload string, received_at timestamp_ntz, source string"
     if extra:
@@ -29,9 +29,9 @@ def test_national_parses_one_row(spark):
     assert len(rows) == 1
     r = rows[0]
     assert r.region_id == 0
-    assert r.period_start_utc == datetime(2026, 5, 21, 14, 30)
-    assert r.period_end_utc == datetime(2026, 5, 21, 15, 0)
-    assert (r.forecast_gco2_per_kwh, r.actual_gco2_per_kwh, r.intensity_index) == (89, 92, "low")
+    assert r.period_start_utc == datetime(2027, 7, 11, 14, 30)
+    assert r.period_end_utc == datetime(2027, 7, 11, 15, 0)
+    assert (r.forecast_gco2_per_kwh, r.actual_gco2_per_kwh, r.intensity_index) == (143, 151, "moderate")
 
 
 def test_national_null_actual(spark):
@@ -54,7 +54,7 @@ def test_generation_mix_parses_and_pins_utc(spark):
     assert _violations(spark, doc, contracts.GENERATION_MIX) == []
     rows = payloads.parse_generation_mix(_frame(spark, [doc])).orderBy("period_start_utc").collect()
     assert len(rows) == 3
-    assert rows[0].period_start_utc == datetime(2026, 6, 2, 12, 0)
+    assert rows[0].period_start_utc == datetime(2027, 8, 2, 12, 0)
     assert rows[0].hydro_mw == 111.0
     comp = sum(getattr(rows[0], c) for c in ["gas_mw", "coal_mw", "nuclear_mw", "wind_mw", "wind_embedded_mw",
                                              "hydro_mw", "imports_mw", "biomass_mw", "other_mw", "solar_mw",
@@ -136,15 +136,15 @@ def test_split_contract(spark):
 
 def test_minute_precision_instant(spark):
     from halfhourly.functions.columns import parse_iso_utc
-    df = spark.createDataFrame([("2026-05-21T14:30Z",), ("2026-05-21T14:30:00Z",), ("2026-05-21T15:30:00+01:00",)], "s string")
+    df = spark.createDataFrame([("2027-07-11T14:30Z",), ("2027-07-11T14:30:00Z",), ("2027-07-11T15:30:00+01:00",)], "s string")
     got = [r.t for r in df.select(parse_iso_utc(F.col("s")).alias("t")).collect()]
-    assert got == [datetime(2026, 5, 21, 14, 30)] * 3
+    assert got == [datetime(2027, 7, 11, 14, 30)] * 3
 
 
 def test_price_fan_out_over_two_regions(spark):
     """One scan over two tariff folders: 4 rates x 2 regions = 8 rows."""
     dim = payloads.region_seed(spark)
-    rows = [(dumps(prices(4)), datetime(2026, 5, 21, 9, 0), "prices", f"/land/prices/E-1R-AGILE-24-10-01-{c}/p.json")
+    rows = [(dumps(prices(4)), datetime(2027, 7, 11, 9, 0), "prices", f"/land/prices/E-1R-AGILE-24-10-01-{c}/p.json")
             for c in ("C", "J")]
     df = spark.createDataFrame(rows, "payload string, received_at timestamp_ntz, source string, file string")
     df = df.withColumn("tariff_code", payloads.tariff_code_from_path(F.col("file")))
@@ -160,11 +160,11 @@ def test_wire_times_do_not_depend_on_session_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "Europe/London")
     try:
-        df = spark.createDataFrame([("2026-05-21T14:30Z", "2026-03-29T01:30:00")], "a string, b string")
+        df = spark.createDataFrame([("2027-07-11T14:30Z", "2026-03-29T01:30:00")], "a string, b string")
         r = df.select(parse_iso_utc(F.col("a")).alias("a"), parse_naive_utc(F.col("b")).alias("b")).first()
-        assert r.a == datetime(2026, 5, 21, 14, 30)
+        assert r.a == datetime(2027, 7, 11, 14, 30)
         assert r.b == datetime(2026, 3, 29, 1, 30)   # inside London's spring-forward gap
-        assert payloads.parse_national(_frame(spark, [NATIONAL])).first().period_start_utc == datetime(2026, 5, 21, 14, 30)
+        assert payloads.parse_national(_frame(spark, [NATIONAL])).first().period_start_utc == datetime(2027, 7, 11, 14, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 

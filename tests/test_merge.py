@@ -11,8 +11,8 @@ from halfhourly.schemas import CARBON_SCHEMA
 from halfhourly.sources import adapters
 
 SF = "/root/testdata/sf0.001"
-NOW = "2026-05-21 15:00:00"
-T0 = datetime(2026, 5, 21, 14, 30)
+NOW = "2027-07-11 15:00:00"
+T0 = datetime(2027, 7, 11, 14, 30)
 
 
 def _rows(df):
@@ -44,9 +44,9 @@ def test_actual_is_sticky(spark):
     realised = _batch(spark, [(0, T0, 89, 92, "low", 1)])
     forecast_only = _batch(spark, [(0, T0, 95, None, "moderate", 2)])
     s1 = merge.upsert_carbon(_empty(spark), realised, NOW, F.col("_s"))
-    s2 = merge.upsert_carbon(s1, forecast_only, "2026-05-21 16:00:00", F.col("_s")).first()
+    s2 = merge.upsert_carbon(s1, forecast_only, "2027-07-11 16:00:00", F.col("_s")).first()
     assert (s2.forecast_gco2_per_kwh, s2.actual_gco2_per_kwh, s2.intensity_index) == (95, 92, "moderate")
-    assert s2.ingested_at_utc == datetime(2026, 5, 21, 16, 0)
+    assert s2.ingested_at_utc == datetime(2027, 7, 11, 16, 0)
 
 
 def test_duplicates_inside_batch_last_wins_and_last_non_null_actual(spark):
@@ -106,7 +106,7 @@ def test_same_instant_files_merge_deterministically(spark):
     import copy
     other = copy.deepcopy(NATIONAL)
     other["data"][0]["intensity"]["forecast"] = 111
-    same = datetime(2026, 5, 21, 14, 31)
+    same = datetime(2027, 7, 11, 14, 31)
     docs = [(dumps(NATIONAL), same, "national", "/land/national/a.json"),
             (dumps(other), same, "national", "/land/national/b.json")]
     df = spark.createDataFrame(docs, "payload string, received_at timestamp_ntz, source string, file string")

@@ -11,8 +11,8 @@ from halfhourly.functions.columns import sequence_of
 from halfhourly.operators import merge
 from halfhourly.schemas import CARBON_SCHEMA, INTENSITY_BANDS
 
-T0 = datetime(2026, 5, 21)
-NOW = "2026-05-22 00:00:00"
+T0 = datetime(2027, 7, 11)
+NOW = "2027-07-12 00:00:00"
 
 row = st.tuples(st.integers(0, 2), st.integers(0, 3), st.integers(0, 400),
                 st.one_of(st.none(), st.integers(0, 400)), st.sampled_from(INTENSITY_BANDS))

@@ -53,7 +53,7 @@ def test_stream_equals_batch(spark, tmpdir_path):
     assert strip(s_carbon) == strip(b_carbon)
     assert len(s_carbon) == 2 + 14
     national = [r for r in s_carbon if r[0] == 0]
-    assert [r[4] for r in national] == [92, 97]          # second period realised later
+    assert [r[4] for r in national] == [151, 97]          # second period realised later
     quar = spark.read.parquet(os.path.join(tmpdir_path, "s_quar", "carbon_intensity"))
     assert [r.source for r in quar.collect()] == ["national"]
     assert len(_rows(spark, os.path.join(s_state, "agile_price"), PRICE_SCHEMA)) == 4
@@ -65,19 +65,17 @@ def test_stream_equals_batch(spark, tmpdir_path):
     assert _rows(spark, os.path.join(s_state, "carbon_intensity"), CARBON_SCHEMA) == s_carbon
 
 
-def test_deduplicated_view_keeps_one_row_per_key(spark, tmpdir_path):
-    from pyspark.sql import functions as F
-    from halfhourly.sources import adapters
-    rows = adapters.carbon_log(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
-    src = os.path.join(tmpdir_path, "parsed")
-    rows.write.parquet(src)
-    stream = spark.readStream.schema(rows.schema).parquet(src)
-    q = (ingest.deduplicated_view(stream).writeStream.format("memory").queryName("dedup_view")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(180)
-    got = spark.sql("SELECT region_id, period_start_utc FROM dedup_view")
-    assert got.count() == rows.select("region_id", "period_start_utc").distinct().count()
-    assert got.groupBy("region_id", "period_start_utc").count().filter(F.col("count") > 1).count() == 0
+def test_bad_documents_are_set_aside_and_replays_do_not_double(spark, tmpdir_path):
+    land, st, qu = (os.path.join(tmpdir_path, x) for x in ("prices/landing", "state", "quar"))
+    for code in ("E-1R-AGILE-24-10-01-C", "E-1R-AGILE-24-10-01-Z"):
+        os.makedirs(os.path.join(land, "prices", code))
+        with open(os.path.join(land, "prices", code, "a.json"), "w") as f:
+            f.write(dumps(prices(4)))
+    for _ in range(2):
+        ingest.ingest_batch(spark, land, st, qu, "agile_price", payloads.region_seed(spark))
+    bad = spark.read.parquet(os.path.join(qu, "agile_price")).collect()
+    assert [r.violations for r in bad] == [["unknown tariff code"]]
+    assert len(_rows(spark, os.path.join(st, "agile_price"), PRICE_SCHEMA)) == 4
 
 
 def test_jobs_end_to_end(spark, tmpdir_path):
@@ -88,18 +86,18 @@ def test_jobs_end_to_end(spark, tmpdir_path):
     st, ck, qu = (os.path.join(tmpdir_path, d) for d in ("state", "ck", "quar"))
     jobs.main(["ingest", "--landing", land, "--state", st, "--checkpoint", ck, "--quarantine", qu])
     out = jobs.main(["build", "--state", st, "--out", os.path.join(tmpdir_path, "marts"),
-                     "--as-of", "2026-05-21T10:00:00"])
+                     "--as-of", "2027-07-11T10:00:00"])
     assert out["marts"] == ["mart_best_slots_24h", "mart_generation_mix_long", "mart_half_hourly"]
     arch = jobs.main(["archive", "--state", st, "--lake", os.path.join(tmpdir_path, "lake"),
-                      "--as-of", "2026-05-22T02:00:00"])
-    assert arch["carbon_intensity/2026-05-21"] == 16 and arch["agile_price/2026-05-21"] == 4
+                      "--as-of", "2027-07-12T02:00:00"])
+    assert arch["carbon_intensity/2027-07-11"] == 16 and arch["agile_price/2027-07-11"] == 4
     q = jobs.main(["query", "--lake", os.path.join(tmpdir_path, "lake"),
                    "--sql", "SELECT count(*) AS n FROM carbon_intensity WHERE region_id = ${R}",
                    "--param", "R=0"])
     assert q["rows_shown"] == 1
-    monthly = jobs.main(["query", "--lake", os.path.join(tmpdir_path, "lake"), "--as-of", "2026-06-01T00:00:00"])
+    monthly = jobs.main(["query", "--lake", os.path.join(tmpdir_path, "lake"), "--as-of", "2027-08-01T00:00:00"])
     assert monthly["rows_shown"] == 1
-    gone = jobs.main(["expire", "--state", st, "--as-of", "2026-09-01T00:00:00", "--days", "90"])
+    gone = jobs.main(["expire", "--state", st, "--as-of", "2027-11-01T00:00:00", "--days", "90"])
     assert gone["carbon_intensity"] == 1
 
 
