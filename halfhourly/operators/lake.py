@@ -170,7 +170,8 @@ def archive_day_counts(tables: dict[str, DataFrame], as_of,
     out = None
     for name, df in tables.items():
         d = F.to_date("period_start_utc")
-        counts = df.agg(*[F.count_if(d == F.lit(day)).cast("bigint").alias(f"c{i}")
+        lo, hi = (ts_lit(datetime.combine(x, datetime.min.time())) for x in (days[0], days[-1] + timedelta(days=1)))
+        counts = df.filter((F.col("period_start_utc") >= lo) & (F.col("period_start_utc") < hi)).agg(*[F.count_if(d == F.lit(day)).cast("bigint").alias(f"c{i}")
                           for i, day in enumerate(days)])
         rows = counts.select(F.inline(F.array(*[
             F.struct(F.lit(name).alias("table_name"), F.lit(day).alias(DAY), F.col(f"c{i}").alias("rows"))
@@ -223,7 +224,8 @@ def ensure_tables(spark: SparkSession, lake_root: str, database: str = "lake") -
 def apply_retention(df: DataFrame, as_of, days: int = HOT_RETENTION_DAYS) -> DataFrame:
     """Rows of UTC days no older than ``as_of``'s day minus ``days`` (day-granular)."""
     cutoff = F.date_sub(F.to_date(ts_lit(as_of)), days)
-    return df.filter(F.to_date("period_start_utc") >= cutoff)
+    kept = df.filter(F.to_date("period_start_utc") >= cutoff)
+    return kept.filter(F.col(DAY) >= cutoff) if DAY in df.columns else kept  # prunes partitions
 
 
 def expire_partitions(spark: SparkSession, path: str, as_of, days: int = HOT_RETENTION_DAYS) -> int:
