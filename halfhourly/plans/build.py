@@ -14,9 +14,11 @@ on every table) as DataFrame functions:
 from __future__ import annotations
 
 import os
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
+from halfhourly.functions.columns import utc_naive
 from halfhourly.operators import lake, marts, quality
 from halfhourly.schemas import FUELS, INTENSITY_BANDS
 
@@ -56,8 +58,12 @@ def build_marts(raw: dict[str, DataFrame], as_of, out_root: str | None = None) -
             (lake.with_day(out[name]).hint("rebalance", lake.DAY).write.mode("overwrite")
              .option("partitionOverwriteMode", "static").partitionBy(lake.DAY)
              .parquet(os.path.join(out_root, name)))
-        # at most 48 rows per region: one small file
-        (out["mart_best_slots_24h"].coalesce(1).write.mode("overwrite")
+        # the 24-hour mart reads the days it needs from the mart just written
+        start = utc_naive(as_of)
+        near = lake.read_table(hh.sparkSession, os.path.join(out_root, "mart_half_hourly"), hh.schema,
+                               start, start + timedelta(hours=24))
+        out["mart_best_slots_24h"] = marts.best_slots_24h(near, as_of)
+        (out["mart_best_slots_24h"].hint("rebalance").write.mode("overwrite")
          .parquet(os.path.join(out_root, "mart_best_slots_24h")))
     return out
 
