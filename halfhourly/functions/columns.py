@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from halfhourly.schemas import INTENSITY_BANDS, TARIFF_CODE_PREFIX
 
@@ -14,7 +15,7 @@ __all__ = [
     "share_pct", "band_of_forecast", "band_code", "band_from_code",
     "band_class", "display_value", "is_forecast", "parse_iso_utc", "parse_naive_utc",
     "format_request_ts", "tariff_code", "tariff_letter", "slugify", "sequence_of", "oldest_sequence",
-    "utc_wall_clock",
+    "utc_wall_clock", "wire_number", "wire_int", "wire_bool", "weekday_label", "minute_label",
     "BAND_THRESHOLDS",
 ]
 
@@ -99,34 +100,61 @@ def utc_wall_clock(instant: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
 
 
+_CLOCK = r"[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?"
+_OFFSET = r"(Z|[+-][0-9]{2}:?[0-9]{2})"
+
+
+def _readable(s: Column) -> Column:
+    """ISO text as the string cast reads it: seconds added to a minute-only time, the
+    fraction cut to microseconds, a colon in the offset."""
+    s = F.regexp_replace(s, r"^(.{10}[T ][0-9]{2}:[0-9]{2})(?=$|Z|[+-])", "$1:00")
+    s = F.regexp_replace(s, r"(\.[0-9]{6})[0-9]+", "$1")
+    return F.regexp_replace(s, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+
+
 def parse_iso_utc(s: Column) -> Column:
-    """ISO instant with a ``Z``/offset, minutes or seconds precision -> UTC
-    wall clock as ``TIMESTAMP_NTZ``, whatever the session time zone.
+    """ISO instant with a ``Z`` or offset (``+01:00``, ``+0100``), minutes, seconds or any
+    fraction -> UTC wall clock as ``TIMESTAMP_NTZ``, whatever the session time zone.  NULL for
+    any other text and for dates or times that do not exist; the contract check rejects
+    exactly what this gives NULL for.
 
-    ``2026-05-21T14:30Z`` and ``2026-05-21T14:30:00Z`` both parse (the
-    default string cast returns NULL for the minutes-only form).  The text
-    carries its own offset, so the parsed instant is zone-free; it is turned
+    The text carries its own offset, so the parsed instant is zone-free; it is turned
     into UTC wall clock through epoch microseconds, not through a cast (a
     cast to NTZ would use the session zone).
     """
-    instant = F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mmXXX")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")),
-    )
-    return utc_wall_clock(instant)
+    return utc_wall_clock(F.when(s.rlike(f"^{_CLOCK}{_OFFSET}$"), _readable(s).try_cast("timestamp")))
 
 
 def parse_naive_utc(s: Column) -> Column:
-    """Naive ISO text read as UTC wall clock (the generation-mix feed's
-    convention), parsed straight to ``TIMESTAMP_NTZ`` so no session zone (and
-    no DST gap) is involved; text in another shape gives NULL."""
-    return F.coalesce(
-        F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$"),
-               F.to_timestamp_ntz(s, F.lit("yyyy-MM-dd'T'HH:mm:ss"))),
-        F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"),
-               F.to_timestamp_ntz(s, F.lit("yyyy-MM-dd HH:mm:ss"))),
-    )
+    """Naive ISO text (minutes, seconds or any fraction) read as UTC wall clock (the
+    generation-mix feed's convention), cast straight to ``TIMESTAMP_NTZ`` so no session zone (and
+    no DST gap) is involved; NULL for any other text."""
+    return F.when(s.rlike(f"^{_CLOCK}$"), _readable(s).try_cast("timestamp_ntz"))
+
+
+def wire_number(s: Column) -> Column:
+    """JSON number, or text that holds one, as a DOUBLE; else NULL.  At most 200 digits before
+    the point and an exponent of two digits, so the value is finite."""
+    return F.when(s.rlike(r"^-?[0-9]{1,200}(\.[0-9]+)?([eE][-+]?[0-9]{1,2})?$"), s.try_cast("double"))
+
+
+def wire_int(s: Column, kind: str = "int") -> Column:
+    """Whole number within ``kind``: ``89``, ``89.0`` and ``"89"`` but not ``89.5``, ``true`` or one out of range."""
+    return F.when(s.rlike(r"^-?[0-9]+(\.0+)?$"), F.regexp_replace(s, r"\.0+$", "").try_cast(kind))
+
+
+def wire_bool(s: Column) -> Column:
+    return F.when(s.isin("true", "false"), s == "true")
+
+
+def weekday_label(ts: Column) -> Column:
+    """Slot label: short weekday and time, ``Mon 14:30``."""
+    return F.date_format(ts, "EEE HH:mm")
+
+
+def minute_label(ts: Column) -> Column:
+    """Full label to the minute, ``2024-01-15 14:30``."""
+    return F.date_format(ts, "yyyy-MM-dd HH:mm")
 
 
 def format_request_ts(ts: Column) -> Column:
@@ -150,9 +178,10 @@ def slugify(name: Column) -> Column:
     return F.regexp_replace(s, r"^-+|-+$", "")
 
 
-def sequence_of(ts: Column, tiebreak: Column) -> Column:
-    """Merge order: ``struct(t, n)`` compared field by field (instant, then a
-    tiebreak such as event id or position in the document).
+def sequence_of(ts: Column, tiebreak: Column, file: Column | None = None) -> Column:
+    """Merge order: ``struct(t, [file,] n)`` compared field by field (instant, then a
+    tiebreak such as event id or position in the document; landed documents of one
+    instant are told apart by their file).
 
     Measured on a 1M-row log (8 cores): ``max_by`` over this struct (a
     sort-based aggregate, still partially aggregated before the shuffle)
@@ -160,9 +189,11 @@ def sequence_of(ts: Column, tiebreak: Column) -> Column:
     aggregate takes 5.6 s: the BigDecimal arithmetic costs more than the
     per-task sort.
     """
-    return F.struct(ts.cast("timestamp_ntz").alias("t"), tiebreak.cast("bigint").alias("n"))
+    middle = [] if file is None else [F.coalesce(file, F.lit("")).alias("file")]
+    return F.struct(ts.cast("timestamp_ntz").alias("t"), *middle, tiebreak.cast("bigint").alias("n"))
 
 
-def oldest_sequence() -> Column:
-    """A sequence value older than any real one (stored rows in an upsert)."""
-    return sequence_of(F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"), F.lit(-1))
+def oldest_sequence(like: T.StructType) -> Column:
+    """A sequence value older than any real one (stored rows in an upsert), of the fields of ``like``."""
+    low = {"t": F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"), "file": F.lit(""), "n": F.lit(-1).cast("bigint")}
+    return F.struct(*[low[f.name].alias(f.name) for f in like.fields])

@@ -4,6 +4,7 @@
     spark-submit --py-files halfhourly.zip halfhourly/jobs.py ingest  --landing L --state S --checkpoint C --quarantine Q
     spark-submit --py-files halfhourly.zip halfhourly/jobs.py build   --state S --out M --as-of 2024-01-15T12:00:00
     spark-submit --py-files halfhourly.zip halfhourly/jobs.py archive --state S --lake K --as-of 2024-01-15T02:00:00
+    spark-submit --py-files halfhourly.zip halfhourly/jobs.py tables  --lake K --database lake
     spark-submit --py-files halfhourly.zip halfhourly/jobs.py expire  --state S --as-of 2024-01-15T00:00:00
     spark-submit --py-files halfhourly.zip halfhourly/jobs.py query   --lake K --sql "... region_id = ${R}" --param R=0
 
@@ -63,6 +64,11 @@ def run_archive(spark, a) -> dict:
     return {f"{r.table_name}/{r.period_day}": r.rows for r in counts.collect()}
 
 
+def run_tables(spark, a) -> dict:
+    """Register the archive tables in the catalog and take up the days that are stored."""
+    return {"created": lake.ensure_tables(spark, a.lake, a.database)}
+
+
 def run_expire(spark, a) -> dict:
     return {name: lake.expire_partitions(spark, os.path.join(a.state, name), _as_of(a.as_of), a.days)
             for name in HOT}
@@ -71,7 +77,7 @@ def run_expire(spark, a) -> dict:
 def run_query(spark, a) -> dict:
     """Ad-hoc SQL over the lake tables; without ``--sql`` the default report:
     national monthly averages for the last 24 months, newest first."""
-    views = {name: lake.scan_lake(spark, a.lake, name) for name in LAKE_TABLES}
+    views = {name: lake.scan_lake(spark, a.lake, name) for name in LAKE_TABLES}  # with the day column, for pruning
     if a.sql:
         params = dict(p.split("=", 1) for p in a.param)
         df, secs = reads.ad_hoc(spark, a.sql, views, **params)
@@ -105,6 +111,9 @@ def main(argv: list[str] | None = None) -> dict:
     s.add_argument("--lake", required=True)
     s.add_argument("--as-of")
     s.add_argument("--lookback", type=int, default=ARCHIVE_LOOKBACK_DAYS)
+    s = sub.add_parser("tables")
+    s.add_argument("--lake", required=True)
+    s.add_argument("--database", default="lake")
     s = sub.add_parser("expire")
     s.add_argument("--state", required=True)
     s.add_argument("--as-of")
@@ -119,7 +128,7 @@ def main(argv: list[str] | None = None) -> dict:
     a = p.parse_args(argv)
     spark = get_spark(app=f"halfhourly-{a.cmd}")
     out = {"ingest": run_ingest, "build": run_build, "archive": run_archive, "expire": run_expire,
-           "query": run_query}[a.cmd](spark, a)
+           "tables": run_tables, "query": run_query}[a.cmd](spark, a)
     print(json.dumps(out, default=str))
     return out
 

@@ -20,18 +20,17 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halfhourly.functions.columns import ts_lit
+from halfhourly.functions.columns import ts_lit, utc_naive
 from halfhourly.schemas import ARCHIVE_LOOKBACK_DAYS, HOT_RETENTION_DAYS, lake_schema
 
 DAY = "period_day"
 
 
 def _as_date(v) -> date:
-    if isinstance(v, datetime):
-        return v.date()
-    if isinstance(v, date):
+    """The UTC day of an instant (one with an offset is converted), or a date as it is."""
+    if isinstance(v, date) and not isinstance(v, datetime):
         return v
-    return datetime.fromisoformat(str(v)).date()
+    return utc_naive(v).date()
 
 
 def with_day(df: DataFrame) -> DataFrame:
@@ -241,7 +240,8 @@ def merge_into_days(spark: SparkSession, path: str, incoming: DataFrame, merge_f
     ``merge_fn(current, incoming) -> merged`` is one of the ``merge.upsert_*``
     functions; ``schema`` is the table schema (without the day column).  Only
     the partitions of the days present in the batch are read (the list of
-    days is tiny: a batch spans hours to days).  The merged frame is cut from
+    days is tiny: a batch spans hours to days).  The merged rows take the table
+    schema (a NULL in a required column fails the job) and are cut from
     its lineage with a reliable ``checkpoint()`` before the overwrite, so the
     write never reads the files it replaces.  Returns the rewritten days.
     """
@@ -255,7 +255,7 @@ def merge_into_days(spark: SparkSession, path: str, incoming: DataFrame, merge_f
                .drop(DAY))
     else:
         cur = spark.createDataFrame([], schema)
-    merged = with_day(merge_fn(cur, incoming)).checkpoint(eager=True)
+    merged = with_day(conform(merge_fn(cur, incoming), schema)).checkpoint(eager=True)
     overwrite_days(merged, path, days)
     return days
 
@@ -269,6 +269,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, period_from
     return spark.read.schema(full).parquet(path).filter(day_bounds(period_from, period_to)).drop(DAY)
 
 
+def read_newest_day(spark: SparkSession, path: str, schema: T.StructType, back: int = 0) -> DataFrame:
+    """The newest stored day of a hot table or mart (``back`` days of data before it), found in
+    the folder list: a "current" read scans one day instead of the table."""
+    days = list_days(spark, path)
+    if len(days) <= back:
+        return spark.createDataFrame([], schema)
+    day = datetime.combine(days[-1 - back], datetime.min.time())
+    return read_table(spark, path, schema, day, day + timedelta(days=1))
+
+
 def archive_tables(spark: SparkSession, state_root: str, lake_root: str, as_of,
                    lookback: int = ARCHIVE_LOOKBACK_DAYS) -> DataFrame:
     """Archive from the day-partitioned hot tables: only the ``lookback`` days

@@ -72,11 +72,11 @@ def price_from_log(log: DataFrame, seq: Column | None = None) -> DataFrame:
 
 def _stamp(current: DataFrame, incoming: DataFrame, incoming_seq: Column,
            now) -> DataFrame:
-    """Union of stored rows (sequence -1, oldest) and a batch stamped ``now``."""
-    cur = current.withColumn(SEQ, oldest_sequence())
+    """Union of stored rows (the oldest sequence) and a batch stamped ``now``."""
     now_col = now if isinstance(now, Column) else ts_lit(now)
     inc = (incoming.withColumn(SEQ, incoming_seq)
            .withColumn("ingested_at_utc", now_col))
+    cur = current.withColumn(SEQ, oldest_sequence(inc.schema[SEQ].dataType))
     cols = list(current.columns) + [SEQ]
     return cur.select(*cols).unionByName(inc.select(*cols))
 
@@ -98,9 +98,12 @@ def upsert_carbon(current: DataFrame, incoming: DataFrame, now, incoming_seq: Co
 def upsert_replace(current: DataFrame, incoming: DataFrame, keys: Sequence[str], now,
                    incoming_seq: Column) -> DataFrame:
     """Generic replace-on-conflict (generation mix, price, region dimension)."""
-    u = _stamp(current, incoming, incoming_seq, now) if "ingested_at_utc" in current.columns \
-        else current.withColumn(SEQ, oldest_sequence()).unionByName(
-            incoming.withColumn(SEQ, incoming_seq).select(*current.columns, SEQ))
+    if "ingested_at_utc" in current.columns:
+        u = _stamp(current, incoming, incoming_seq, now)
+    else:
+        inc = incoming.withColumn(SEQ, incoming_seq)
+        u = (current.withColumn(SEQ, oldest_sequence(inc.schema[SEQ].dataType))
+             .unionByName(inc.select(*current.columns, SEQ)))
     values = [c for c in current.columns if c not in keys]
     return reduce_newest(u, keys, SEQ, newest=values).select(*current.columns)
 
@@ -121,10 +124,12 @@ def as_known_at(log: DataFrame, known_at, reduce=carbon_from_log) -> DataFrame:
     return reduce(log.filter(F.col("ingested_at_utc") <= ts_lit(known_at)))
 
 
-def compact_log(log: DataFrame, as_of, keep_days: int) -> DataFrame:
+def compact_log(log: DataFrame, as_of, keep_days: int, keys: Sequence[str] = CARBON_KEY,
+                sticky: Sequence[str] = ("actual_gco2_per_kwh",)) -> DataFrame:
     """Keep every log row from the last ``keep_days`` plus, per key, ONE merged
-    row standing for everything older (newest values, newest non-NULL
-    ``actual``, newest ``ingested_at_utc``/``event_id``).
+    row standing for everything older (newest values, newest non-NULL ``sticky`` ones,
+    newest ``ingested_at_utc``/``event_id``).  Any log with those two columns will do: carbon,
+    prices (``sticky=()``), generation mix (``keys=MIX_KEY, sticky=()``).
 
     Law: ``carbon_from_log(compact_log(log)) == carbon_from_log(log)``.
     """
@@ -132,8 +137,18 @@ def compact_log(log: DataFrame, as_of, keep_days: int) -> DataFrame:
     old = log.filter(F.col("ingested_at_utc") < cutoff)
     recent = log.filter(F.col("ingested_at_utc") >= cutoff)
     seq = sequence_of(F.col("ingested_at_utc"), F.col("event_id"))
-    merged = reduce_newest(old.withColumn(SEQ, seq), CARBON_KEY, SEQ,
-                           newest=CARBON_VALUES + ["ingested_at_utc", "event_id"],
-                           sticky=["actual_gco2_per_kwh"])
+    newest = [c for c in log.columns if c not in {*keys, *sticky}]
+    merged = reduce_newest(old.withColumn(SEQ, seq), keys, SEQ, newest=newest, sticky=sticky)
     merged = merged.select(*log.columns)
     return merged.unionByName(recent.select(*log.columns))
+
+
+def expired_versions(log: DataFrame, as_of, keep_days: int, keys: Sequence[str] = CARBON_KEY) -> DataFrame:
+    """What ``compact_log`` does to a log, in one row: versions before, kept and expired."""
+    cutoff = ts_lit(as_of) - F.make_dt_interval(F.lit(keep_days))
+    is_old = F.col("ingested_at_utc") < cutoff
+    per_key = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_old).alias("old"))
+    gone = F.coalesce(F.sum(F.greatest(F.col("old") - 1, F.lit(0))), F.lit(0)).cast("bigint")
+    total = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")
+    return per_key.agg(total.alias("versions"), gone.alias("expired")).select(
+        "versions", (F.col("versions") - F.col("expired")).alias("kept"), "expired")

@@ -75,11 +75,11 @@ def row_checks(df: DataFrame, table: str, checks: list[tuple[str, str, Column]])
     return _report(df, table, checks)
 
 
-def carbon_row_checks(carbon: DataFrame, table: str = "carbon_intensity") -> DataFrame:
+def carbon_row_checks(carbon: DataFrame, table: str = "carbon_intensity", more: Sequence[tuple[str, str, Column]] = ()) -> DataFrame:
     cols = ["region_id", "period_start_utc", "period_end_utc", "forecast_gco2_per_kwh",
             "intensity_index", "ingested_at_utc"]
     return _report(carbon, table, not_null_checks(cols) + [
-        accepted_values_check("intensity_index", INTENSITY_BANDS), period_order_check()])
+        accepted_values_check("intensity_index", INTENSITY_BANDS), period_order_check(), *more])
 
 
 def price_row_checks(price: DataFrame, table: str = "agile_price") -> DataFrame:
@@ -89,6 +89,12 @@ def price_row_checks(price: DataFrame, table: str = "agile_price") -> DataFrame:
         period_order_check(), region_bounds_check(), vat_order_check()])
 
 
+def mix_row_checks(mix: DataFrame, table: str = "generation_mix") -> DataFrame:
+    return _report(mix, table, not_null_checks(
+        ["period_start_utc", *[c for c, _, _ in FUELS], "total_generation_mw", "neso_carbon_intensity_gco2_per_kwh",
+         "ingested_at_utc"]) + [component_sum_check()])
+
+
 def unique_key(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """Number of key values that occur more than once."""
     dup = df.groupBy(*keys).count().filter(F.col("count") > 1)
@@ -117,26 +123,33 @@ def grid_gaps(df: DataFrame, keys: Sequence[str] = ("region_id",), minutes: int
     period count is not ``per_day``.
 
     Plan: de-duplicate ``(key, period)`` (partial aggregation absorbs any raw
-    duplicates), then one ``lead`` window per series; the per-day and
-    per-series counts reuse the window's partitioning, so the check is two
-    shuffles over one scan.  A window partition is one series, which holds
-    at most one row per half-hour (17,520 per year) whatever the skew of the
-    raw log, so no task is handed an unbounded group.
+    duplicates), then one ``lead`` window per series and month, so a long archive spreads
+    over series x months tasks and none holds more than a month's
+    half-hours of one series; the breaks between months come from the first and last
+    period of each month (twelve rows a year and series).
     """
     keys = list(keys)
     p = df.select(*keys, "period_start_utc").dropDuplicates()
-    nxt = F.lead("period_start_utc").over(Window.partitionBy(*keys).orderBy("period_start_utc"))
+    day = F.to_date("period_start_utc")
+    month = F.trunc(day, "month")
+    nxt = F.lead("period_start_utc").over(Window.partitionBy(*keys, month).orderBy("period_start_utc"))
     step = plus_minutes(F.col("period_start_utc"), minutes)
     off_grid = (F.minute("period_start_utc") % minutes != 0) | (F.second("period_start_utc") != 0)
-    flagged = p.select(*keys, F.to_date("period_start_utc").alias("_d"),
+    flagged = p.select(*keys, month.alias("_m"), day.alias("_d"), "period_start_utc",
                        (nxt.isNotNull() & (nxt != step)).alias("_break"), off_grid.alias("_off"))
-    days = flagged.groupBy(*keys, "_d").agg(F.count(F.lit(1)).alias("n"), F.count_if("_off").alias("og"),
-                                            F.count_if("_break").alias("nb"))
-    return days.groupBy(*keys).agg(
+    days = flagged.groupBy(*keys, "_m", "_d").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_off").alias("og"), F.count_if("_break").alias("nb"),
+        F.min("period_start_utc").alias("lo"), F.max("period_start_utc").alias("hi"))
+    months = days.groupBy(*keys, "_m").agg(
+        F.sum("n").alias("n"), F.sum("og").alias("og"), F.sum("nb").alias("nb"),
+        F.count_if(F.col("n") != per_day).alias("short"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    following = F.lead("lo").over(Window.partitionBy(*keys).orderBy("_m"))
+    edge = (following.isNotNull() & (following != plus_minutes(F.col("hi"), minutes))).cast("int")
+    return months.withColumn("edge", edge).groupBy(*keys).agg(
         F.sum("n").cast("bigint").alias("periods"),
-        F.sum("nb").cast("bigint").alias("gaps"),
+        F.sum(F.col("nb") + F.col("edge")).cast("bigint").alias("gaps"),
         F.sum("og").cast("bigint").alias("off_grid"),
-        F.count_if(F.col("n") != per_day).cast("bigint").alias("short_days"))
+        F.sum("short").cast("bigint").alias("short_days"))
 
 
 def staleness(tables: dict[str, DataFrame], as_of, limits: dict[str, int]) -> DataFrame:

@@ -46,7 +46,8 @@ def build_staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def build_marts(raw: dict[str, DataFrame], as_of, out_root: str | None = None) -> dict[str, DataFrame]:
-    """Mart frames; with ``out_root`` they are also written (overwrite)."""
+    """Mart frames; with ``out_root`` they are written (overwrite) and read back, so that the
+    checks and the 24-hour ranking do not compute them again."""
     hh = marts.half_hourly(raw["carbon_intensity"], raw["agile_price"])
     out = {
         "mart_half_hourly": hh,
@@ -58,6 +59,7 @@ def build_marts(raw: dict[str, DataFrame], as_of, out_root: str | None = None) -
             (lake.with_day(out[name]).hint("rebalance", lake.DAY).write.mode("overwrite")
              .option("partitionOverwriteMode", "static").partitionBy(lake.DAY)
              .parquet(os.path.join(out_root, name)))
+            out[name] = lake.read_table(hh.sparkSession, os.path.join(out_root, name), out[name].schema)
         # the 24-hour mart reads the days it needs from the mart just written
         start = utc_naive(as_of)
         near = lake.read_table(hh.sparkSession, os.path.join(out_root, "mart_half_hourly"), hh.schema,
@@ -65,40 +67,39 @@ def build_marts(raw: dict[str, DataFrame], as_of, out_root: str | None = None) -
         out["mart_best_slots_24h"] = marts.best_slots_24h(near, as_of)
         (out["mart_best_slots_24h"].hint("rebalance").write.mode("overwrite")
          .parquet(os.path.join(out_root, "mart_best_slots_24h")))
+        out["mart_best_slots_24h"] = (hh.sparkSession.read.schema(out["mart_best_slots_24h"].schema)
+                                      .parquet(os.path.join(out_root, "mart_best_slots_24h")))
     return out
 
 
 def run_checks(raw: dict[str, DataFrame], built: dict[str, DataFrame], dim: DataFrame) -> DataFrame:
-    """All data checks of the build as one report."""
+    """All data checks of the build as one report: one aggregate per table for the row-level
+    checks, one grouped count per key, one anti-join per foreign key."""
     carbon, price, mix = raw["carbon_intensity"], raw["agile_price"], raw["generation_mix"]
+    hh, long, best = (built[n] for n in ("mart_half_hourly", "mart_generation_mix_long", "mart_best_slots_24h"))
+    not_null, key = quality.not_null_checks, ["region_id", "period_start_utc"]
     parts = [
-        quality.carbon_row_checks(carbon),
+        quality.carbon_row_checks(carbon, more=[quality.regional_actual_null_check()]),
         quality.price_row_checks(price),
-        quality.row_checks(carbon, "carbon_intensity", [quality.regional_actual_null_check()]),
-        quality.row_checks(mix, "generation_mix",
-                           quality.not_null_checks(["period_start_utc", "total_generation_mw"])
-                           + [quality.component_sum_check()]),
-        quality.unique_key(carbon, "carbon_intensity", ["region_id", "period_start_utc"]),
-        quality.unique_key(price, "agile_price", ["region_id", "period_start_utc"]),
-        quality.unique_key(mix, "generation_mix", ["period_start_utc"]),
-        quality.unique_key(dim, "dno_region", ["region_id"]),
-        quality.unique_key(built["mart_half_hourly"], "mart_half_hourly", ["region_id", "period_start_utc"]),
-        quality.unique_key(built["mart_generation_mix_long"], "mart_generation_mix_long",
-                           ["period_start_utc", "fuel"]),
-        quality.unique_key(built["mart_best_slots_24h"], "mart_best_slots_24h", ["region_id", "period_start_utc"]),
-        quality.row_checks(built["mart_half_hourly"], "mart_half_hourly",
-                           quality.not_null_checks(["region_id", "period_start_utc", "forecast_gco2_per_kwh"])
-                           + [quality.accepted_values_check("intensity_index", INTENSITY_BANDS)]),
-        quality.row_checks(built["mart_generation_mix_long"], "mart_generation_mix_long",
-                           quality.not_null_checks(["period_start_utc", "fuel"])
+        quality.row_checks(mix, "generation_mix", not_null(
+            ["period_start_utc", "total_generation_mw", "neso_carbon_intensity_gco2_per_kwh"]) + [quality.component_sum_check()]),
+        quality.row_checks(dim, "dno_region", not_null(["region_id", "canonical_code", "slug"])),
+        quality.row_checks(hh, "mart_half_hourly", not_null(
+            ["region_id", "period_start_utc", "period_end_utc", "forecast_gco2_per_kwh", "intensity_index"])
+            + [quality.accepted_values_check("intensity_index", INTENSITY_BANDS), quality.period_order_check()]),
+        quality.row_checks(long, "mart_generation_mix_long", not_null(["period_start_utc", "fuel", "mw", "is_renewable"])
                            + [quality.accepted_values_check("fuel", [f for _, f, _ in FUELS])]),
-        quality.row_checks(built["mart_best_slots_24h"], "mart_best_slots_24h",
-                           quality.not_null_checks(["cheapest_rank", "greenest_rank"])),
+        quality.row_checks(best, "mart_best_slots_24h", not_null([*key, "cheapest_rank", "greenest_rank"])),
+        quality.unique_key(carbon, "carbon_intensity", key),
+        quality.unique_key(price, "agile_price", key),
+        quality.unique_key(mix, "generation_mix", ["period_start_utc"]),
+        *[quality.unique_key(dim, "dno_region", [c]) for c in ("region_id", "canonical_code", "slug")],
+        quality.unique_key(hh, "mart_half_hourly", key),
+        quality.unique_key(long, "mart_generation_mix_long", ["period_start_utc", "fuel"]),
+        quality.unique_key(best, "mart_best_slots_24h", key),
+        _fk_row(quality.orphans(carbon.select("region_id"), dim, "region_id"), "carbon_intensity"),
+        _fk_row(quality.orphans(price.select("region_id"), dim, "region_id"), "agile_price"),
     ]
-    fk_c = quality.orphans(carbon.select("region_id"), dim, "region_id")
-    fk_p = quality.orphans(price.select("region_id"), dim, "region_id")
-    parts.append(_fk_row(fk_c, "carbon_intensity"))
-    parts.append(_fk_row(fk_p, "agile_price"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

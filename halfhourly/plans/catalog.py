@@ -129,7 +129,7 @@ def q_carbon_current(spark, sf_dir):
 
 
 def q_carbon_range(spark, sf_dir):
-    return reads.carbon_range(Tables(spark, sf_dir).hh(RANGE_FROM, RANGE_TO), RANGE_FROM, RANGE_TO)
+    return reads.carbon_range(Tables(spark, sf_dir).hh(RANGE_FROM, RANGE_TO), f"{RANGE_FROM}Z", f"{RANGE_TO}Z")
 
 
 def q_price_current(spark, sf_dir):
@@ -137,7 +137,7 @@ def q_price_current(spark, sf_dir):
 
 
 def q_price_range(spark, sf_dir):
-    return reads.price_range(Tables(spark, sf_dir).price(RANGE_FROM, RANGE_TO), RANGE_FROM, RANGE_TO)
+    return reads.price_range(Tables(spark, sf_dir).price(RANGE_FROM, RANGE_TO), f"{RANGE_FROM}Z", f"{RANGE_TO}Z")
 
 
 def q_carbon_trend_24h(spark, sf_dir):
@@ -789,9 +789,20 @@ ORACLE["dq_check_summary"] = (
       "CAST(count(*) AS BIGINT) AS checks FROM report GROUP BY 1")
 
 
+def _parts() -> list:
+    from halfhourly.plans import catalog_checks, catalog_landing  # they build on this module
+    return [catalog_landing, catalog_checks]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    out = dict(QUERIES)
+    for part in _parts():
+        out |= part.QUERIES
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
+    out = dict(ORACLE)
+    for part in _parts():
+        out |= part.ORACLE
+    return {k: v for k, v in out.items() if k in queries()}

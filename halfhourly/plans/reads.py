@@ -8,6 +8,7 @@ shuffle of one row per region per task), never a global sort.
 
 from __future__ import annotations
 
+import re
 import time
 from datetime import datetime, timedelta
 
@@ -15,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halfhourly.functions.columns import (
-    band_class, band_code, band_from_code, display_value, is_forecast, plus_hours, ts_lit, utc_naive,
+    band_class, band_code, band_from_code, display_value, is_forecast, ts_lit, utc_naive,
 )
+from halfhourly.operators.lake import DAY, day_bounds, list_days, read_newest_day
 from halfhourly.schemas import (
     DEFAULT_PRICE_REGION_ID, FIRST_DNO_REGION_ID, LAST_DNO_REGION_ID, MAX_RANGE_DAYS,
     NATIONAL_REGION_ID,
@@ -38,7 +40,10 @@ def _to_dt(v) -> datetime:
 
 
 def check_window(from_ts, to_ts, max_days: int = MAX_RANGE_DAYS) -> None:
-    """``to > from`` and at most ``max_days`` long, else ``ValueError``."""
+    """Both bounds with an offset, ``to > from`` and at most ``max_days`` long, else ``ValueError``."""
+    for v in (from_ts, to_ts):
+        if (v if isinstance(v, datetime) else datetime.fromisoformat(str(v))).tzinfo is None:
+            raise ValueError(f"{v}: a range bound needs an offset, Z or +00:00 for UTC")
     a, b = _to_dt(from_ts), _to_dt(to_ts)
     if b <= a:
         raise ValueError("range end must be after its start")
@@ -57,6 +62,13 @@ def price_region(region_id: int) -> int:
     return DEFAULT_PRICE_REGION_ID if region_id == NATIONAL_REGION_ID else region_id
 
 
+def _between(df: DataFrame, from_ts, to_ts) -> DataFrame:
+    """Rows of ``[from, to)``; a stored table that still carries its day column is pruned by day too."""
+    if DAY in df.columns:
+        return df.filter(day_bounds(from_ts, to_ts))
+    return df.filter((F.col("period_start_utc") >= ts_lit(from_ts)) & (F.col("period_start_utc") < ts_lit(to_ts)))
+
+
 def _region(df: DataFrame, region_id: int | None) -> DataFrame:
     return df if region_id is None else df.filter(F.col("region_id") == F.lit(region_id))
 
@@ -136,23 +148,36 @@ def carbon_current(hh: DataFrame, region_id: int | None = None) -> DataFrame:
     return latest_per_region(rows, CARBON_POINT)
 
 
+def carbon_current_stored(spark: SparkSession, path: str, schema, region_id: int) -> DataFrame:
+    """``carbon_current`` of one region on a stored mart: walks back from the newest stored
+    day until the region has a row, so it reads one day as a rule and not the table."""
+    found = carbon_current(spark.createDataFrame([], schema), region_id)
+    for back in range(len(list_days(spark, path))):
+        found = carbon_current(read_newest_day(spark, path, schema, back), region_id)
+        if not found.isEmpty():
+            break
+    return found
+
+
+def generation_mix_stored(spark: SparkSession, path: str, schema) -> DataFrame:
+    """``generation_mix_current`` on a stored mart: the newest period lies in the newest stored day."""
+    return generation_mix_current(read_newest_day(spark, path, schema))
+
+
 def carbon_range(hh: DataFrame, from_ts, to_ts, region_id: int | None = None) -> DataFrame:
     check_window(from_ts, to_ts)
-    rows = _region(hh, region_id).filter(
-        (F.col("period_start_utc") >= ts_lit(from_ts)) & (F.col("period_start_utc") < ts_lit(to_ts))
-        & F.col("intensity_index").isNotNull())
+    rows = _between(_region(hh, region_id), from_ts, to_ts).filter(F.col("intensity_index").isNotNull())
     rows = rows.select(*CARBON_POINT)
     # one region: at most 14 days x 48 rows (guarded), returned in time order
     return _sorted_small(rows, "period_start_utc") if region_id is not None else rows
 
 
 def carbon_trend(hh: DataFrame, as_of, hours: int = 24, region_id: int | None = None) -> DataFrame:
-    """Trailing ``hours`` before ``as_of``: forecast and actual per half-hour."""
-    end = ts_lit(as_of)
-    start = plus_hours(end, -hours)
-    rows = _region(hh, region_id).filter(
-        (F.col("period_start_utc") >= start) & (F.col("period_start_utc") < end)
-        & F.col("intensity_index").isNotNull())
+    """Trailing ``hours`` (as many as a range may have) before ``as_of``: forecast and actual per half-hour."""
+    if not 0 < hours <= 24 * MAX_RANGE_DAYS:
+        raise ValueError(f"a trend covers 1 to {24 * MAX_RANGE_DAYS} hours")
+    end = utc_naive(as_of)
+    rows = _between(_region(hh, region_id), end - timedelta(hours=hours), end).filter(F.col("intensity_index").isNotNull())
     rows = rows.select("region_id", "period_start_utc", "forecast_gco2_per_kwh", "actual_gco2_per_kwh",
                        F.date_format("period_start_utc", "HH:mm").alias("label"))
     return _sorted_small(rows, "period_start_utc") if region_id is not None else rows
@@ -191,16 +216,25 @@ def prices_at(price: DataFrame, points: DataFrame, ts_col: str = "ts") -> DataFr
     the half-hour buckets it covers (one bucket for a half-hourly tariff),
     each point gets its bucket, and the join is on ``(region_id, bucket)``
     with the exact containment test as a residual filter — no cross product,
-    no nested-loop join.  A hot region on the point side is handled by AQE's
+    no nested-loop join.  An interval is first cut to the span of the points (one row), so one that
+    is open for decades yields no more buckets than the points have.  A hot region on
+    the point side is handled by AQE's
     skew-join splitting (the interval side has one row per key).
     """
+    half = lambda c: F.window(c, "30 minutes").start
+    span = points.agg(F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi")).withColumn("_all", F.lit(1))
     last = F.col("period_end_utc") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.000001))
-    buckets = price.select(
+    cut = (price.withColumn("_all", F.lit(1)).join(F.broadcast(span), "_all")
+           .filter((F.col("period_start_utc") <= F.col("_hi")) & (F.col("period_end_utc") > F.col("_lo")))
+           .withColumn("_from", F.greatest("period_start_utc", "_lo")).withColumn("_to", F.least(last, "_hi")))
+    buckets = cut.select(
+        "region_id", "period_start_utc", "period_end_utc", "price_pence_per_kwh_inc_vat",
+        "price_pence_per_kwh_exc_vat", half("_from").alias("_from"), "_to").select(
+        "region_id", "period_start_utc", "period_end_utc", "price_pence_per_kwh_inc_vat",
+        "price_pence_per_kwh_exc_vat", "_from", half("_to").alias("_to")).select(
         "region_id", "period_start_utc", "period_end_utc", "price_pence_per_kwh_inc_vat",
         "price_pence_per_kwh_exc_vat",
-        F.explode(F.sequence(F.window("period_start_utc", "30 minutes").start,
-                             F.window(last, "30 minutes").start,
-                             F.expr("INTERVAL 30 MINUTES"))).alias("_bucket"))
+        F.explode(F.sequence("_from", "_to", F.expr("INTERVAL 30 MINUTES"))).alias("_bucket"))
     pts = points.withColumn("_bucket", F.window(ts_col, "30 minutes").start)
     joined = pts.join(buckets, ["region_id", "_bucket"], "inner").filter(
         (F.col("period_start_utc") <= F.col(ts_col)) & (F.col(ts_col) < F.col("period_end_utc")))
@@ -212,9 +246,7 @@ def prices_at(price: DataFrame, points: DataFrame, ts_col: str = "ts") -> DataFr
 def price_range(price: DataFrame, from_ts, to_ts, region_id: int | None = None) -> DataFrame:
     check_window(from_ts, to_ts)
     require_dno(region_id)
-    rows = _region(price, region_id).filter(
-        (F.col("period_start_utc") >= ts_lit(from_ts)) & (F.col("period_start_utc") < ts_lit(to_ts)))
-    rows = rows.select(*PRICE_POINT)
+    rows = _between(_region(price, region_id), from_ts, to_ts).select(*PRICE_POINT)
     return _sorted_small(rows, "period_start_utc") if region_id is not None else rows
 
 
@@ -274,6 +306,8 @@ def monthly_intensity(lake_carbon: DataFrame, as_of, months: int = 24,
     """Average actual/forecast and half-hour count per month, newest first."""
     since = ts_lit(as_of) - F.make_ym_interval(F.lit(0), F.lit(months))
     rows = lake_carbon.filter((F.col("region_id") == region_id) & (F.col("period_start_utc") >= since))
+    if DAY in lake_carbon.columns:  # prunes partitions
+        rows = rows.filter(F.col(DAY) >= F.to_date(since))
     # via DATE: zone-free for TIMESTAMP_NTZ (date_trunc would go through the session zone)
     month = F.trunc(F.to_date("period_start_utc"), "month").cast("timestamp_ntz")
     return (rows.groupBy(month.alias("month"))
@@ -288,9 +322,13 @@ def ad_hoc(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = N
     """Run SQL over registered views with ``${NAME}`` substitution.
 
     Values are bound as named parameters (``:name``), never spliced into the
-    text, so they cannot change the statement.  Returns the result and the
+    text, so they cannot change the statement; a placeholder inside quotes would become
+    plain text and is refused.  Returns the result and the
     planning time; the caller decides how many rows to show.
     """
+    quoted = re.findall(r"'(?:[^']|'')*'", sql)
+    if any("${" + k + "}" in q for q in quoted for k in params):
+        raise ValueError("a ${NAME} placeholder stands for a whole value: write it without quotes")
     for name, df in (views or {}).items():
         df.createOrReplaceTempView(name)
     text = sql

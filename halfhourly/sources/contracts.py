@@ -16,30 +16,34 @@ Coercion follows the reference's lax mode: an ``int`` accepts ``89``,
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from halfhourly.functions.columns import parse_iso_utc, parse_naive_utc, wire_bool, wire_int, wire_number
 from halfhourly.schemas import INTENSITY_BANDS, MIX_WIRE_FUELS, MIX_WIRE_PERC, MIX_WIRE_ROLLUPS
 
 MAP = T.MapType(T.StringType(), T.StringType())
 ARR = T.ArrayType(T.StringType())
 
-# Value-text patterns for leaf types (raw JSON scalar text as Spark renders it).
-PATTERNS = {
-    "int": r"^-?[0-9]+(\.0+)?$",
-    "number": r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$",
-    "bool": r"^(true|false)$",
-    "instant": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})$",
-    "naive": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?$",
+#: Leaf kinds and the parsers that decide them: a value whose parse is NULL violates the
+#: contract, so the check accepts exactly what ``payloads`` can read.
+PARSERS = {
+    "int": wire_int,
+    "long": lambda s: wire_int(s, "bigint"),
+    "number": wire_number,
+    "bool": wire_bool,
+    "instant": parse_iso_utc,
+    "naive": parse_naive_utc,
     "string": None,
 }
 
 
 @dataclass
 class Leaf:
-    kind: str                      # key of PATTERNS
+    kind: str                      # key of PARSERS
     nullable: bool = False
     required: bool = True
     enum: list[str] | None = None
@@ -72,52 +76,65 @@ def _cat(parts: list[Column]) -> Column:
     return F.concat(*[F.coalesce(p, _empty()) for p in parts]) if parts else _empty()
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, evaluated once: nothing is shared between the branches of an expression
+    inside a lambda, so a value that many checks look at is bound to a lambda variable first."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _check_value(spec, v: Column, path: Column) -> Column:
     """Violations of one JSON value given as raw text (NULL = JSON null)."""
     if isinstance(spec, Obj):
-        return _check_object(spec, v, path)
+        return F.when(v.isNull(), _empty()).otherwise(_check_object(spec, v, path))
     if isinstance(spec, Arr):
-        arr = F.from_json(v, ARR)
-        bad = F.when(arr.isNull(), _msg(path, ": not an array"))
-
-        def elem_path(i):
-            return F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
-
-        if isinstance(spec.item, Obj):
-            # Parse every element once (no common-subexpression elimination
-            # happens inside lambdas), then check the parsed maps.
-            pairs = F.arrays_zip(arr.alias("t"), F.transform(arr, lambda x: F.from_json(x, MAP)).alias("m"))
-            inner = F.flatten(F.transform(
-                pairs, lambda x, i: _check_object(spec.item, x["t"], elem_path(i), parsed=x["m"])))
-        else:
-            inner = F.flatten(F.transform(arr, lambda x, i: _check_value(spec.item, x, elem_path(i))))
-        return F.when(v.isNull(), _empty()).otherwise(_cat([bad, inner]))
-    pat = PATTERNS[spec.kind]
+        def elements(arr: Column) -> Column:
+            def check(x, i):
+                at = F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
+                if isinstance(spec.item, Obj):
+                    return _check_object(spec.item, x, at)
+                return _check_value(spec.item, x, at)
+            return _cat([F.when(arr.isNull(), _msg(path, ": not an array")), F.flatten(F.transform(arr, check))])
+        return F.when(v.isNull(), _empty()).otherwise(_let(F.from_json(v, ARR), elements))
+    parse = PARSERS[spec.kind]
     parts = []
-    if pat is not None:
-        parts.append(F.when(~v.rlike(pat), _msg(path, f": not {spec.kind}")))
+    if parse is not None:
+        parts.append(F.when(parse(v).isNull(), _msg(path, f": not {spec.kind}")))
     if spec.enum is not None:
         parts.append(F.when(~v.isin(*spec.enum), _msg(path, ": not an accepted value")))
     return F.when(v.isNull(), _empty()).otherwise(_cat(parts))
 
 
-def _check_object(spec: Obj, text: Column, path: Column, parsed: Column | None = None) -> Column:
-    m = parsed if parsed is not None else F.from_json(text, MAP)
-    keys = F.map_keys(m)
-    parts = [F.when(m.isNull(), _msg(path, ": not an object"))]
-    if not spec.open:
-        unknown = F.array_except(keys, F.array(*[F.lit(k) for k in spec.fields]))
-        parts.append(F.transform(unknown, lambda k: F.concat(path, F.lit("."), k, F.lit(": unknown key"))))
-    for name, sub in spec.fields.items():
-        sub_path = F.concat(path, F.lit("." + name))
-        present = F.array_contains(keys, F.lit(name))
-        v = F.try_element_at(m, F.lit(name))
+def _check_field(sub, m: Column, name: Column, path: Column) -> Column:
+    """Violations of the field ``name`` of a parsed object."""
+    at, present = F.concat(path, F.lit("."), name), F.map_contains_key(m, name)
+
+    def check(v: Column) -> Column:
+        own = []
         if sub.required:
-            parts.append(F.when(~present, _msg(sub_path, ": missing key")))
+            own.append(F.when(v.isNull() & ~present, _msg(at, ": missing key")))
         if not sub.nullable:
-            parts.append(F.when(present & v.isNull(), _msg(sub_path, ": null")))
-        parts.append(_check_value(sub, v, sub_path))
-    return F.when(text.isNull(), _msg(path, ": null document")).otherwise(_cat(parts))
+            own.append(F.when(v.isNull() & present, _msg(at, ": null")))
+        return _cat([*own, _check_value(sub, v, at)])
+    return _let(F.try_element_at(m, name), check)
+
+
+def _check_object(spec: Obj, text: Column, path: Column) -> Column:
+    """Violations of a JSON object given as raw text (NULL = no document)."""
+    def fields(m: Column) -> Column:
+        parts = [F.when(m.isNull(), _msg(path, ": not an object"))]
+        if not spec.open:
+            unknown = F.array_except(F.map_keys(m), F.array(*[F.lit(k) for k in spec.fields]))
+            parts.append(F.transform(unknown, lambda k: F.concat(path, F.lit("."), k, F.lit(": unknown key"))))
+        # neighbouring leaves of one kind are one check over their names, so a wide record stays a small expression
+        for _, group in groupby(spec.fields.items(), key=lambda f: repr(f[1]) if isinstance(f[1], Leaf) else f[0]):
+            names, subs = zip(*group, strict=True)
+            if len(names) == 1:
+                parts.append(_check_field(subs[0], m, F.lit(names[0]), path))
+            else:
+                parts.append(F.flatten(F.transform(F.array(*[F.lit(n) for n in names]),
+                                                   lambda n: _check_field(subs[0], m, n, path))))
+        return _cat(parts)
+    return F.when(text.isNull(), _msg(path, ": null document")).otherwise(_let(F.from_json(text, MAP), fields))
 
 
 def violations(text: Column, spec: Obj) -> Column:
@@ -151,7 +168,7 @@ def props_contract(df: DataFrame, allowed: list[str], required: list[str], id_co
 
 
 # ---------------------------------------------------------------------------
-# The three wire contracts
+# The wire contracts.  Fixed values: field names and nesting as the feeds send them.
 # ---------------------------------------------------------------------------
 
 BAND = Leaf("string", enum=INTENSITY_BANDS)
@@ -170,7 +187,7 @@ REGIONAL = Obj({"data": Arr(Obj({
     })),
 }))})
 
-_MIX_RECORD = {"_id": Leaf("int"), "DATETIME": Leaf("naive")}
+_MIX_RECORD = {"_id": Leaf("long"), "DATETIME": Leaf("naive")}
 _MIX_RECORD.update({w: Leaf("number") for w, _ in MIX_WIRE_FUELS})
 _MIX_RECORD.update({w: Leaf("number") for w in MIX_WIRE_ROLLUPS})
 _MIX_RECORD.update({w: Leaf("number") for w in MIX_WIRE_PERC})
@@ -178,11 +195,11 @@ _MIX_RECORD.update({w: Leaf("number") for w in MIX_WIRE_PERC})
 GENERATION_MIX = Obj({
     "success": Leaf("bool"),
     "result": Obj({"records": Arr(Obj(_MIX_RECORD)),
-                   "total": Leaf("int", nullable=True, required=False)}, open=True),
+                   "total": Leaf("long", nullable=True, required=False)}, open=True),
 }, open=True)
 
 PRICES = Obj({
-    "count": Leaf("int"), "next": Leaf("string", nullable=True), "previous": Leaf("string", nullable=True),
+    "count": Leaf("long"), "next": Leaf("string", nullable=True), "previous": Leaf("string", nullable=True),
     "results": Arr(Obj({
         "value_exc_vat": Leaf("number"), "value_inc_vat": Leaf("number"),
         "valid_from": Leaf("instant"), "valid_to": Leaf("instant"),

@@ -28,8 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from halfhourly.functions.columns import tariff_letter, utc_wall_clock
 from halfhourly.operators import lake, merge, quality
-from halfhourly.schemas import ( CARBON_SCHEMA, MIX_KEY, MIX_SCHEMA, PRICE_KEY, PRICE_SCHEMA,
-)
+from halfhourly.schemas import CARBON_SCHEMA, MIX_KEY, MIX_SCHEMA, PRICE_KEY, PRICE_SCHEMA
 from halfhourly.sources import contracts, payloads
 
 # source name -> (contract, hot table)
@@ -74,8 +73,9 @@ def merge_fn(table: str):
     return lambda cur, inc: merge.upsert_replace(cur, inc, keys, now, seq)
 
 
-def check(batch: DataFrame, sources: list[str]) -> DataFrame:
-    """Add ``violations`` using each row's own source contract."""
+def check(batch: DataFrame, sources: list[str], dim: DataFrame | None = None) -> DataFrame:
+    """Add ``violations`` using each row's own source contract.  For prices ``dim`` names the known
+    tariff letters: the letter decides the region, and without a known one the document is set aside, not lost."""
     v = None
     for src in sources:
         spec = SOURCES[src][0]
@@ -85,7 +85,14 @@ def check(batch: DataFrame, sources: list[str]) -> DataFrame:
             expr = F.when(ok_env, expr).otherwise(F.array_append(expr, F.lit("$.success: not true")))
         v = F.when(F.col("source") == src, expr) if v is None else v.when(F.col("source") == src, expr)
     v = v.otherwise(F.array(F.lit("unknown source")))
-    return batch.withColumn("violations", v)
+    checked = batch.withColumn("violations", v)
+    if "prices" not in sources or dim is None:
+        return checked
+    letters = quality.broadcast_if_small(
+        dim.select(F.col("octopus_code").alias("_letter")).filter("_letter IS NOT NULL").distinct())
+    return (checked.join(letters, tariff_letter(F.col("tariff_code")) == F.col("_letter"), "left")
+            .withColumn("violations", F.when((F.col("source") != "prices") | F.col("_letter").isNotNull(), F.col("violations"))
+                        .otherwise(F.array_append("violations", F.lit("unknown tariff code")))).drop("_letter"))
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, table: str, state_root: str,
@@ -93,14 +100,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, table: str, state_root:
     """Contract split -> quarantine -> parse -> merge into touched days.  The quarantine is kept by
     ``batch_id`` and a replay overwrites its own, so it never doubles."""
     sources = TABLE_SOURCES[table]
-    checked = check(batch, sources)
-    if "prices" in sources and dim is not None:
-        # the tariff letter decides the region: without a known one the document is set aside, not lost
-        letters = quality.broadcast_if_small(dim.select(F.col("octopus_code").alias("_letter")).filter("_letter IS NOT NULL").distinct())
-        checked = (checked.join(letters, tariff_letter(F.col("tariff_code")) == F.col("_letter"), "left")
-                   .withColumn("violations", F.when(F.col("_letter").isNotNull(), F.col("violations")).otherwise(
-                       F.array_append("violations", F.lit("unknown tariff code")))).drop("_letter"))
-    checked = checked.persist()
+    checked = check(batch, sources, dim).persist()
     try:
         bad = checked.filter(F.size("violations") > 0)
         good = checked.filter(F.size("violations") == 0).drop("violations")

@@ -70,10 +70,12 @@ def test_ad_hoc_binds_parameters(spark):
 
 def test_guards():
     with pytest.raises(ValueError):
-        reads.check_window("2024-01-01 00:00:00", "2024-01-16 00:00:01")
+        reads.check_window("2024-01-01 00:00:00Z", "2024-01-16 00:00:01Z")
     with pytest.raises(ValueError):
-        reads.check_window("2024-01-02 00:00:00", "2024-01-01 00:00:00")
-    reads.check_window("2024-01-01 00:00:00", "2024-01-15 00:00:00")
+        reads.check_window("2024-01-02 00:00:00Z", "2024-01-01 00:00:00Z")
+    reads.check_window("2024-01-01 00:00:00Z", "2024-01-15T01:00:00+01:00")
+    with pytest.raises(ValueError, match="offset"):
+        reads.check_window("2024-01-01 00:00:00", "2024-01-02 00:00:00Z")
     with pytest.raises(ValueError):
         reads.require_dno(0)
     assert reads.price_region(0) == 13 and reads.price_region(4) == 4
@@ -124,8 +126,51 @@ def test_single_region_reads(spark):
 def test_single_region_ranges_in_time_order(spark):
     from halfhourly.plans.catalog import Tables
     t = Tables(spark, SF)
-    rows = reads.carbon_range(t.hh(), "2024-01-08 00:00:00", "2024-01-20 00:00:00", 3).collect()
+    rows = reads.carbon_range(t.hh(), "2024-01-08 00:00:00Z", "2024-01-20 00:00:00Z", 3).collect()
     starts = [r.period_start_utc for r in rows]
     assert starts == sorted(starts) and {r.region_id for r in rows} <= {3}
     trend = reads.carbon_trend(t.hh(), "2024-01-15 12:00:00", 24, 3).collect()
     assert [r.period_start_utc for r in trend] == sorted(r.period_start_utc for r in trend)
+
+
+def test_stored_reads_prune_by_day(spark, tmpdir_path):
+    """Reads of a stored mart touch only the days they need."""
+    raw = _raw(spark)
+    build.build_marts(raw, AS_OF, out_root=tmpdir_path)
+    path = os.path.join(tmpdir_path, "mart_half_hourly")
+    hh = spark.read.parquet(path)
+    pruned = lambda df: "period_day" in df._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert pruned(reads.carbon_range(hh, "2024-01-08T00:00Z", "2024-01-09T00:00Z"))
+    assert pruned(reads.carbon_trend(hh, AS_OF))
+    assert pruned(reads.price_range(hh, "2024-01-08T00:00Z", "2024-01-09T00:00Z"))
+    assert pruned(reads.monthly_intensity(hh, AS_OF)) and pruned(lake.apply_retention(hh, AS_OF))
+    schema = hh.drop("period_day").schema
+    for region in (0, 5):
+        one = reads.carbon_current_stored(spark, path, schema, region)
+        assert pruned(one) and one.collect() == reads.carbon_current(hh.drop("period_day"), region).collect()
+    long = os.path.join(tmpdir_path, "mart_generation_mix_long")
+    whole = spark.read.parquet(long).drop("period_day")
+    near = reads.generation_mix_stored(spark, long, whole.schema)
+    assert sorted(map(str, near.collect())) == sorted(map(str, reads.generation_mix_current(whole).collect()))
+
+
+def test_quoted_placeholders_are_refused(spark):
+    with pytest.raises(ValueError, match="quotes"):
+        reads.ad_hoc(spark, "SELECT '${R}' AS r", R=1)
+
+
+def test_open_interval_is_cut_to_the_points(spark):
+    schema = ("region_id int, period_start_utc timestamp_ntz, period_end_utc timestamp_ntz, "
+              "price_pence_per_kwh_inc_vat double, price_pence_per_kwh_exc_vat double")
+    price = spark.createDataFrame([(1, datetime(2000, 1, 1), datetime(2100, 1, 1), 20.0, 19.0)], schema)
+    pts = spark.createDataFrame([(1, datetime(2027, 7, 11, 10, 59), 1), (2, datetime(2027, 7, 12), 1), (3, datetime(2027, 7, 12), 2)],
+                                "event_id long, ts timestamp_ntz, region_id int")
+    assert sorted(r.event_id for r in reads.prices_at(price, pts).collect()) == [1, 2]
+    assert reads.prices_at(price, pts.limit(0)).count() == 0
+
+
+def test_grid_breaks_between_months_count(spark):
+    starts = [datetime(2027, 1, 31, 23, 0), datetime(2027, 1, 31, 23, 30), datetime(2027, 2, 1), datetime(2027, 4, 1), datetime(2027, 4, 1, 0, 45)]
+    df = spark.createDataFrame([(1, s) for s in starts], "region_id int, period_start_utc timestamp_ntz")
+    r = quality.grid_gaps(df).first()
+    assert (r.periods, r.gaps, r.off_grid, r.short_days) == (5, 2, 1, 3)

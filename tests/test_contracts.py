@@ -127,6 +127,38 @@ def test_lax_integer_coercion(spark, value, ok):
     assert (_violations(spark, doc, contracts.NATIONAL) == []) == ok
 
 
+@pytest.mark.parametrize("text", ["2027-07-11T14:30Z", "2027-07-11T15:30+0100", "2027-07-11T14:30:00.0000000Z",
+                                  "2027-07-11T12:30:00-02:00", "2026-02-31T14:30Z", "2027-07-11T25:61Z", "2027-07-11T14:30",
+                                  "2027-07-11", ""])
+def test_contract_accepts_what_the_parser_reads(spark, text):
+    """A time is in violation exactly if it parses to NULL, and the good forms name one instant."""
+    doc = copy.deepcopy(NATIONAL)
+    doc["data"][0]["from"] = text
+    v = _violations(spark, doc, contracts.NATIONAL)
+    start = payloads.parse_national(_frame(spark, [doc])).first().period_start_utc
+    assert (v == []) == (start is not None)
+    assert start in (None, datetime(2027, 7, 11, 14, 30)) and v in ([], ["$.data[0].from: not instant"])
+
+
+@pytest.mark.parametrize("value", ["89", 89.0, 99999999999, "abc", 1e300])
+def test_numbers_are_read_or_rejected(spark, value):
+    doc = copy.deepcopy(NATIONAL)
+    doc["data"][0]["intensity"]["forecast"] = value
+    v = _violations(spark, doc, contracts.NATIONAL)
+    read = payloads.parse_national(_frame(spark, [doc])).first().forecast_gco2_per_kwh
+    assert (read, v) == ((89, []) if value in ("89", 89.0) else (None, ["$.data[0].intensity.forecast: not int"]))
+
+
+@pytest.mark.parametrize("text,ok", [("2027-08-02T13:00", True), ("2027-08-02 13:00:00.1234567", True), ("2027-08-02T13:00Z", False)])
+def test_naive_forms(spark, text, ok):
+    doc = generation_mix()
+    doc["result"]["records"][0]["DATETIME"] = text
+    v = _violations(spark, doc, contracts.GENERATION_MIX)
+    assert v == ([] if ok else ["$.result.records[0].DATETIME: not naive"])
+    nulls = payloads.parse_generation_mix(_frame(spark, [doc])).filter("period_start_utc IS NULL").count()
+    assert nulls == (0 if ok else 1)
+
+
 def test_split_contract(spark):
     bad = copy.deepcopy(NATIONAL)
     bad["x"] = 1

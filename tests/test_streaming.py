@@ -78,6 +78,29 @@ def test_bad_documents_are_set_aside_and_replays_do_not_double(spark, tmpdir_pat
     assert len(_rows(spark, os.path.join(st, "agile_price"), PRICE_SCHEMA)) == 4
 
 
+def test_batch_with_every_bad_document_finishes(spark, tmpdir_path):
+    """Bad documents of each sort beside a good one: the stream goes on, the good rows are stored, nothing is lost."""
+    land, st, qu = (os.path.join(tmpdir_path, x) for x in ("landing", "state", "quar"))
+    os.makedirs(os.path.join(land, "national"))
+    bad = []
+    for path, value in [(("from",), "2026-02-31T14:30Z"), (("from",), "2026-05-21T25:61Z"), (("to",), "2027-07-11T15:00"),
+                        (("intensity", "forecast"), 99999999999), (("intensity", "forecast"), "x"), (("intensity", "index"), "?")]:
+        doc = copy.deepcopy(NATIONAL)
+        at = doc["data"][0]
+        for k in path[:-1]:
+            at = at[k]
+        at[path[-1]] = value
+        bad.append(doc)
+    for i, d in enumerate([NATIONAL, *bad]):
+        with open(os.path.join(land, "national", f"{i}.json"), "w") as f:
+            f.write(dumps(d))
+    for q in ingest.ingest_stream(spark, land, st, os.path.join(tmpdir_path, "ck"), qu, tables=("carbon_intensity",)):
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert len(_rows(spark, os.path.join(st, "carbon_intensity"), CARBON_SCHEMA)) == 1
+    assert spark.read.parquet(os.path.join(qu, "carbon_intensity")).count() == len(bad)
+
+
 def test_jobs_end_to_end(spark, tmpdir_path):
     """ingest -> build -> archive -> expire -> query, through the job entry points."""
     from halfhourly import jobs
