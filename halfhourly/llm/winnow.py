@@ -71,6 +71,11 @@ def items(benchmark: DataFrame) -> DataFrame:
 
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_hit (words inside an occurrence), item_ids (sorted strings)."""
+    return _judged(docs, benchmark).select("doc_id", "n_words", "n_hit", "item_ids")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``hits`` with the row's text_key."""
     classes = materialize(items(benchmark), "benchmark-classes")
     lengths = classes.select(F.size("words").alias("n")).filter(F.col("n") < WINDOW).distinct().collect()
     short = sorted(r.n for r in lengths)  # at most nine numbers
@@ -95,8 +100,8 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     result = let("ws", words_sql(), (
         "named_struct('n_words', size(ws), 'found', filter(" + each + ", x -> size(x.at) > 0))"))
     return (docs.select("doc_id", "text").join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
-            .select("doc_id", F.expr(result).alias("r"))
-            .select("doc_id", F.col("r.n_words").cast("long").alias("n_words"),
+            .select("doc_id", F.xxhash64("text").alias("text_key"), F.expr(result).alias("r"))
+            .select("doc_id", "text_key", F.col("r.n_words").cast("long").alias("n_words"),
                     F.expr("cast(size(array_distinct(flatten(r.found.at))) as long)").alias("n_hit"),
                     F.expr("array_sort(array_distinct(flatten(r.found.ids)))").alias("item_ids")))
 
@@ -116,5 +121,6 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any hit word, columns as they were."""
-    dirty = hits(docs, benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("__dirty_id")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("__dirty_id")), "left_anti")
+    dirty = (_judged(docs, benchmark).filter("n_hit > 0")
+             .select(F.col("doc_id").alias("__dirty_id"), F.col("text_key").alias("__dirty_key")).distinct())
+    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("__dirty_id")) & (F.xxhash64("text") == F.col("__dirty_key")), "left_anti")

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from halfhourly.llm import chaining
+from halfhourly.llm import chaining, winnow
 
 
 def _words(rng, n):
@@ -23,3 +23,11 @@ def test_passages_parted_by_foreign_words(spark):
     got = {r.doc_id: [(p.start, p.stop) for p in r.passages] for r in
            chaining.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == want
+
+
+def test_clean_rows_stay_beside_dirty_ones_of_their_id(spark):
+    item = "rain falls on quiet hills and rivers run down to the sea"
+    docs = spark.createDataFrame([(None, f"so {item} it is"), (None, "clean one"), (None, None), (1, f"so {item} it is"),
+                                  (1, "clean two"), (2, "clean three")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r.text or "" for r in winnow.keep_clean(docs, bench).collect()) == ["", "clean one", "clean three", "clean two"]
