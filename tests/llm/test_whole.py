@@ -25,6 +25,63 @@ def test_passages_parted_by_foreign_words(spark):
     assert got == want
 
 
+def test_passages_of_several_partners(spark):
+    """A smaller id holds a part of the copy only; or each line of the copy is first seen, and last, elsewhere."""
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+
+    def add(doc, words):
+        head = _words(rng, 30)
+        rows.append((doc, " ".join(head + words + _words(rng, 30))))
+        return len(head)
+    shared = _words(rng, 60)
+    add(0, shared[:45])
+    for doc in (1, 2):
+        at = add(doc, shared)
+        want[doc] = (at, at + 60)
+    lines = [_words(rng, 20) for _ in range(4)]
+    for k, line in enumerate(lines):
+        add(10 + k, line)
+        add(90 + k, line)
+    for doc in (20, 21):
+        at = add(doc, sum(lines, []))
+        want[doc] = (at, at + 80)
+    got = {r.doc_id: [(p.start, p.stop) for p in r.passages] for r in
+           chaining.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: p for d, p in got.items() if p} == {d: [p] for d, p in want.items()}
+
+
+def test_passages_cover_partly_overlapping_copies(spark):
+    """Documents made of random cuts of a few sources: every run of 68 words (50 and the 9 at either end that a seed may
+    not reach) that another document holds is inside a passage, and every passage is covered by shared words."""
+    rng = np.random.default_rng(10)
+    sources = [_words(rng, 300) for _ in range(6)]
+    docs = {}
+    for doc in range(40):
+        words = []
+        for _ in range(4):
+            src, size = sources[rng.integers(6)], int(rng.integers(15, 140))
+            at = int(rng.integers(0, 300 - size))
+            words += src[at:at + size] + _words(rng, int(rng.integers(10, 60)))
+        docs[doc] = words
+
+    def covered(length):
+        seen = {}
+        for doc, w in docs.items():
+            for k in range(len(w) - length + 1):
+                seen.setdefault(tuple(w[k:k + length]), set()).add(doc)
+        return {doc: {k + j for k in range(len(w) - length + 1) if len(seen[tuple(w[k:k + length])]) > 1 for j in range(length)}
+                for doc, w in docs.items()}
+    must, may = covered(68), covered(1)
+    rows = chaining.passages(spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")).collect()
+    for r in rows:
+        got = {k for p in r.passages for k in range(p.start, p.stop)}
+        # at either end of a run, up to nine words beyond its outer seeds can belong to another partner
+        inner = {k for k in must[r.doc_id] if all(k + j in must[r.doc_id] for j in range(-9, 10))}
+        assert inner <= got
+        assert len(got & may[r.doc_id]) >= chaining.IDENTITY * len(got)
+
+
 def test_clean_rows_stay_beside_dirty_ones_of_their_id(spark):
     item = "rain falls on quiet hills and rivers run down to the sea"
     docs = spark.createDataFrame([(None, f"so {item} it is"), (None, "clean one"), (None, None), (1, f"so {item} it is"),
