@@ -36,7 +36,7 @@ MIN_CONFIDENCE = 0.6
 ROUNDS = 3
 DAMPING = 0.9
 STEP = 128
-CONTEXT = 64  # code points before a span, back to the match before, that its context words come from
+CONTEXT = 64  # code points before a span that its context words come from
 
 #: Linear forms of the base patterns.
 PATTERNS = {
@@ -80,18 +80,22 @@ def _matches(kind: str, pattern: str) -> str:
     add = "0, (a, x) -> a + x"
     before = (f"get(starts, cast(i div {STEP} as int)) + aggregate(slice(lens, cast(i div {STEP} as int) * {STEP} + 1, "
               f"i % {STEP}), {add}) + length(get(gs, i))")
+    # a match and the piece before it are two code points at least, so this many reach CONTEXT back
+    left = (f"right(concat(array_join(slice(ts, greatest(i + 1 - {CONTEXT // 2}, 1), least(i, {CONTEXT // 2})), ''), "
+            f"right(get(gs, i), {CONTEXT})), {CONTEXT})")
     found = let("gs", f"split(text, {p}, -1)", let("lens", "zip_with(ms, slice(gs, 1, size(ms)), (m, g) -> length(m) + length(g))", let(
         "sums", f"transform(sequence(0, cast((size(ms) - 1) div {STEP} as int)), j -> aggregate(slice(lens, j * {STEP} + 1, {STEP}), {add}))",
         let("starts", f"transform(sequence(0, size(sums) - 1), j -> aggregate(slice(sums, 1, j), {add}))",
-            f"transform(transform(ms, (m, i) -> named_struct('v', m, 's', {before}, 'c', right(get(gs, i), {CONTEXT}))), "
-            "x -> named_struct('v', x.v, 's', x.s, 'e', x.s + length(x.v), 'c', x.c))"))))
+            let("ts", f"zip_with(ms, slice(gs, 1, size(ms)), (m, g) -> right(concat(right(g, {CONTEXT}), m), {CONTEXT}))",
+                f"transform(transform(ms, (m, i) -> named_struct('v', m, 's', {before}, 'c', {left})), "
+                "x -> named_struct('v', x.v, 's', x.s, 'e', x.s + length(x.v), 'c', x.c))")))))
     none = "slice(array(named_struct('v', '', 's', 0, 'e', 0, 'c', '')), 1, 0)"
     found = let("ms", f"regexp_extract_all(text, {p}, 0)", f"if(size(ms) = 0, {none}, {found})")
     return (f"if(text is not null and {_NEEDS[kind]}, filter({found}, m -> {_VALID[kind]}), "
             "slice(array(named_struct('v', '', 's', 0, 'e', 0, 'c', '')), 1, 0))")
 
 
-#: The two words that end a match's preceding piece, lower case, digits as 0; '' if there are fewer.
+#: The two words before a match (earlier matches are words too), lower case, digits as 0; '' if there are fewer.
 _CTX = ("trim(regexp_replace(regexp_replace(lower(regexp_extract(m.c, '(\\\\S+)\\\\s+(\\\\S+)\\\\s*$', 0)), "
         "'[0-9]+', '0'), '\\\\s+', ' '))")
 

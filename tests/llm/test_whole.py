@@ -1,8 +1,10 @@
 """What the operators once left undone: several passages in one pair, rows that share an id."""
 
+import re
+
 import numpy as np
 
-from halfhourly.llm import chaining, winnow
+from halfhourly.llm import chaining, pii, winnow
 
 
 def _words(rng, n):
@@ -88,3 +90,29 @@ def test_clean_rows_stay_beside_dirty_ones_of_their_id(spark):
                                   (1, "clean two"), (2, "clean three")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert sorted(r.text or "" for r in winnow.keep_clean(docs, bench).collect()) == ["", "clean one", "clean three", "clean two"]
+
+def test_identifiers_after_identifiers_are_found(spark):
+    rows = [(i, f"room {i} call +1 555 200 30{i:02d} now") for i in range(6)]
+    rows += [(10 + i, f"bob@x.org or +1 555 200 40{i:02d} now") for i in range(6)]
+    rows += [(50, "room 12 call 555-0199 now"), (51, "bob@x.org or 555-0199"), (52, "bob@x.org or 555-0199, room 7 call 555-0200")]
+    got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[50] == "phone:13:21" and got[51] == "email:0:9,phone:13:21"
+    assert got[52] == "email:0:9,phone:13:21,phone:35:43"
+
+
+def test_contexts_are_the_text_before_the_span(spark):
+    rng = np.random.default_rng(11)
+    parts = ["1", "22", "a", "word", "555-0199", "x@y.org", "1.2.3.4", "+1 555 200 3000", "4111111111111111", "caf\xe9 \U0001f600", "b7" * 40 + "x"]
+    texts = [" ".join(rng.choice(parts, int(rng.integers(1, 120)))) for _ in range(60)]
+    rows = pii.base(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select("doc_id", "near").collect()
+    seen = 0
+    for r in rows:
+        t = texts[r.doc_id]
+        for u in r.near:
+            two = re.search(r"(\S+)\s+(\S+)\s*$", t[max(0, u.s - pii.CONTEXT):u.s])
+            assert t[u.s:u.e] == u.token and u.ctx == " ".join(re.sub("[0-9]+", "0", two[0].lower()).split())
+            seen += 1
+        starts = {u.s for u in r.near}
+        for m in re.finditer(r"(?<!\S)b7\S+", t):
+            assert m.start() in starts or not re.search(r"\S+\s+\S+\s*$", t[max(0, m.start() - pii.CONTEXT):m.start()])
+    assert seen > 500
