@@ -3,13 +3,17 @@ DuckDB twin where SQL can say it."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from halfhourly.llm import chaining, minhash, mixing, pii, quality, quotes, tokens, toxicity, warc, winnow
+from halfhourly.llm import (
+    chaining, merkle, minhash, mixing, packing, pii, quality, quotes, runs, tokens, toxicity, warc, winnow,
+)
 from halfhourly.llm.common import table
 
 
@@ -55,10 +59,40 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"))
 
 
+def planted_period(doc_id: int | None, words: list[str]) -> list[str]:
+    """The contract's periodic tails: a tenth of the documents, chosen by crc32(doc_id), repeat their words from some place on."""
+    n, h = len(words), 0 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse(table(spark, sf_dir, "documents"), planted_period)
+    line = "concat_ws(',', r.start, r.length, r.period)"
+    lines = F.expr(f"array_join(transform(runs, r -> concat({line}, '\n')), '')")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_warc, op2_mix_sources, op3_near_duplicates, op4_quotation_links, op5_token_counts, op6_personal_data,
-        op7_repeated_passages, op8_decontaminate, op9_toxicity, op10_quality_rules)}
+        op7_repeated_passages, op8_decontaminate, op9_toxicity, op10_quality_rules, op11_periodic_runs,
+        op12_best_fit_packing, op13_merkle_manifest)}
 
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -145,7 +179,54 @@ FROM conversations t JOIN chain c ON c.conv_id = t.conv_id AND c.turn = t.turn
 """
 
 
+#: crc32 of a decimal number; a table of 256 entries from the polynomial, then byte by byte.
+_CRC = """xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''),
+  c -> ascii(c)::BIGINT)), (a, b) -> xor(a >> 8, crc_table[(xor(a, b) & 255) + 1])))"""
+
+
+def _op13(levels: int = 8, top: int = 3) -> str:
+    """The levels of the trees written out: enough for 8^8 leaves a language, 8^3 languages."""
+    field = "coalesce(CAST(octet_length(encode(CAST({0} AS VARCHAR))) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')".format
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    step = "range(256)"
+    for _ in range(8):
+        step = f"list_transform({step}, v -> CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+    ctes = [f"crc AS MATERIALIZED (SELECT {step} AS crc_table)", f"""a0 AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256({head} || {field("text")}) AS leaf,
+         CASE WHEN {_CRC.format("CAST(doc_id AS VARCHAR)")} % 3 = 0
+           THEN sha256({head} || {field(_LOWER.format("text"))}) ELSE sha256({head} || {field("text")}) END AS checked
+  FROM documents, crc)""", """n0 AS MATERIALIZED (
+  SELECT *, leaf AS d, count(*) OVER (PARTITION BY tree) AS n,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM a0)"""]
+
+    def tree(name: str, count: int) -> None:
+        for k in range(count):
+            side = ("coalesce(string_agg(d, '') OVER (PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN {0}), '') AS {1}").format
+            ctes.append(f"""{name}side{k} AS MATERIALIZED (SELECT tree, i, n, {side("UNBOUNDED PRECEDING AND 1 PRECEDING", "l")},
+  {side("1 FOLLOWING AND UNBOUNDED FOLLOWING", "r")} FROM {name}{k})""")
+            ctes.append(f"""{name}{k + 1} AS MATERIALIZED (SELECT tree, i // 8 AS i,
+  CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d,
+  CASE WHEN any_value(n) = 1 THEN 1 ELSE (any_value(n) + 7) // 8 END AS n FROM {name}{k} GROUP BY tree, i // 8)""")
+
+    tree("n", levels)
+    ctes.append(f"""t0 AS MATERIALIZED (SELECT '' AS tree, tree AS key, d, count(*) OVER () AS n,
+  row_number() OVER (ORDER BY tree) - 1 AS i FROM n{levels})""")
+    tree("t", top)
+    ctes.append("""f0 AS MATERIALIZED (SELECT n0.doc_id, n0.tree, n0.i, leaf, checked AS folded, '' AS proof, t0.d AS subroot,
+  t0.i AS place FROM n0 JOIN t0 ON t0.key = n0.tree)""")
+    for k in range(levels + top):
+        on = f"s.tree = f.tree AND s.i = f.i // {8 ** k}" if k < levels else f"s.i = f.place // {8 ** (k - levels)}"
+        side = f"nside{k}" if k < levels else f"tside{k - levels}"
+        ctes.append(f"""f{k + 1} AS MATERIALIZED (SELECT f.doc_id, f.tree, f.i, leaf, proof || l || r AS proof, subroot, place,
+  CASE WHEN s.n > 1 THEN sha256(l || folded || r) ELSE folded END AS folded FROM f{k} f JOIN {side} s ON {on})""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, leaf, subroot, t{top}.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t{top}.d AS verified
+FROM f{levels + top}, t{top}"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others are tested by brute force, the library itself or held-out labels instead: draws (2), tokens (5),
-    bootstrapped scores (6), alignments (7), a trained model (9) and divergences to corpus references (10)."""
-    return {"op1_warc": _OP1, "op4_quotation_links": _OP4, "op3_near_duplicates": _OP3, "op8_decontaminate": _OP8}
+    bootstrapped scores (6), alignments (7), a trained model (9), divergences to corpus references (10), runs (11) and
+    packings (12)."""
+    return {"op1_warc": _OP1, "op4_quotation_links": _OP4, "op3_near_duplicates": _OP3, "op8_decontaminate": _OP8,
+            "op13_merkle_manifest": _op13()}
