@@ -181,7 +181,7 @@ FROM conversations t JOIN chain c ON c.conv_id = t.conv_id AND c.turn = t.turn
 
 #: crc32 of a decimal number; a table of 256 entries from the polynomial, then byte by byte.
 _CRC = """xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''),
-  c -> ascii(c)::BIGINT)), (a, b) -> xor(a >> 8, crc_table[(xor(a, b) & 255) + 1])))"""
+  lambda c: ascii(c)::BIGINT)), lambda a, b: xor(a >> 8, crc_table[(xor(a, b) & 255) + 1])))"""
 
 
 def _op13(levels: int = 8, top: int = 3) -> str:
@@ -190,7 +190,7 @@ def _op13(levels: int = 8, top: int = 3) -> str:
     head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
     step = "range(256)"
     for _ in range(8):
-        step = f"list_transform({step}, v -> CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+        step = f"list_transform({step}, lambda v: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
     ctes = [f"crc AS MATERIALIZED (SELECT {step} AS crc_table)", f"""a0 AS MATERIALIZED (
   SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256({head} || {field("text")}) AS leaf,
          CASE WHEN {_CRC.format("CAST(doc_id AS VARCHAR)")} % 3 = 0
