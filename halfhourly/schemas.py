@@ -95,6 +95,18 @@ HOT_RETENTION_DAYS = 90
 # Staleness limits in seconds (two half-hourly feeds, then the daily price feed).
 STALENESS_LIMITS_S = {"carbon_intensity": 5400, "generation_mix": 5400, "agile_price": 100800}
 
+# Seconds that a feed must stay stale before its alert fires.
+ALERT_HOLD_S = {"carbon_intensity": 1800, "generation_mix": 1800, "agile_price": 7200}
+
+# Fuels (long-form labels) of each published bucket; a fuel may be in several.
+FUEL_BUCKETS = {
+    "renewable": ["wind", "wind_emb", "hydro", "biomass", "solar"],
+    "fossil": ["gas", "coal"],
+    "low_carbon": ["nuclear", "wind", "wind_emb", "hydro", "biomass", "solar"],
+    "zero_carbon": ["nuclear", "wind", "wind_emb", "hydro", "solar"],
+    "wind_total": ["wind", "wind_emb"],
+}
+
 # Row-count floors checked after a restore.
 ROW_FLOORS = {"carbon_intensity": 100, "generation_mix": 10, "agile_price": 100}
 
