@@ -790,8 +790,8 @@ ORACLE["dq_check_summary"] = (
 
 
 def _parts() -> list:
-    from halfhourly.plans import catalog_checks, catalog_landing  # they build on this module
-    return [catalog_landing, catalog_checks]
+    from halfhourly.plans import catalog_analytics, catalog_checks, catalog_landing  # they build on this module
+    return [catalog_landing, catalog_checks, catalog_analytics]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
