@@ -112,10 +112,10 @@ def _written_counts(spark: SparkSession, path: str, days: Iterable[date], schema
     return {r[0]: r[1] for r in rows}
 
 
-def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> dict[date, int]:
+def overwrite_days(df: DataFrame, path: str, days: Sequence[date], count: bool = True) -> dict[date, int]:
     """Replace exactly ``days`` of the table at ``path`` with the rows of
     ``df`` for those days; a day without rows ends up empty.  Returns rows
-    written per day.
+    written per day (``{}`` without ``count``, which saves reading the new files' footers).
 
     The set of days that received rows (bounded by ``len(days)``) is observed during the
     write; the other days are deleted explicitly, and the rows are then counted per
@@ -135,6 +135,8 @@ def overwrite_days(df: DataFrame, path: str, days: Sequence[date]) -> dict[date,
     metrics = observed(obs, lambda: selected.agg(present_days).first().asDict())
     present = sorted(set(metrics.get("present") or []))
     drop_partitions(spark, path, [d for d in days if d not in present])
+    if not count:
+        return {}
     counts = _written_counts(spark, path, present, selected.schema)
     return {d: counts.get(d, 0) for d in days}
 
@@ -210,16 +212,26 @@ def ensure_tables(spark: SparkSession, lake_root: str, database: str = "lake") -
         if not fs.exists(folder):
             fs.mkdirs(folder)
         if spark.catalog.tableExists(f"{database}.{name}"):
-            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+            _take_up_days(spark, f"{database}.{name}", list_days(spark, f"{lake_root}/{name}"))
             continue
         cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lake_schema(name).fields)
         spark.sql(f"CREATE TABLE {database}.{name} ({cols}, {DAY} date) USING parquet "
                   f"PARTITIONED BY ({DAY}) LOCATION '{lake_root}/{name}'")
-        spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+        _take_up_days(spark, f"{database}.{name}", list_days(spark, f"{lake_root}/{name}"))
         created += 1
     return created
 
 
+def _take_up_days(spark: SparkSession, table: str, stored: Sequence[date], per_statement: int = 500) -> None:
+    """Register the stored days that the catalog lacks, drop those that are gone; the others are not touched."""
+    known = {date.fromisoformat(r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for verb, days in (("ADD IF NOT EXISTS", sorted(set(stored) - known)), ("DROP IF EXISTS", sorted(known - set(stored)))):
+        specs = [f"PARTITION ({DAY} = DATE'{d.isoformat()}')" for d in days]
+        for k in range(0, len(specs), per_statement):
+            joined = (" " if verb.startswith("ADD") else ", ").join(specs[k:k + per_statement])
+            spark.sql(f"ALTER TABLE {table} {verb} {joined}")
+
+
 def apply_retention(df: DataFrame, as_of, days: int = HOT_RETENTION_DAYS) -> DataFrame:
     """Rows of UTC days no older than ``as_of``'s day minus ``days`` (day-granular)."""
     cutoff = F.date_sub(F.to_date(ts_lit(as_of)), days)
@@ -249,14 +261,9 @@ def merge_into_days(spark: SparkSession, path: str, incoming: DataFrame, merge_f
     if not days:
         return []
     existing = set(list_days(spark, path)) & set(days)
-    if existing:
-        full = T.StructType(list(schema.fields) + [T.StructField(DAY, T.DateType(), True)])
-        cur = (spark.read.schema(full).parquet(path).filter(F.col(DAY).isin(*sorted(existing)))
-               .drop(DAY))
-    else:
-        cur = spark.createDataFrame([], schema)
+    cur = read_days(spark, path, schema, sorted(existing)).drop(DAY) if existing else spark.createDataFrame([], schema)
     merged = with_day(conform(merge_fn(cur, incoming), schema)).checkpoint(eager=True)
-    overwrite_days(merged, path, days)
+    overwrite_days(merged, path, days, count=False)
     return days
 
 
@@ -269,14 +276,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, period_from
     return spark.read.schema(full).parquet(path).filter(day_bounds(period_from, period_to)).drop(DAY)
 
 
-def read_newest_day(spark: SparkSession, path: str, schema: T.StructType, back: int = 0) -> DataFrame:
-    """The newest stored day of a hot table or mart (``back`` days of data before it), found in
-    the folder list: a "current" read scans one day instead of the table."""
+def read_days(spark: SparkSession, path: str, schema: T.StructType, days: Sequence[date]) -> DataFrame:
+    """The rows of some stored days, with the day column: only their folders are listed."""
+    full = T.StructType([f for f in schema.fields if f.name != DAY] + [T.StructField(DAY, T.DateType(), True)])
+    folders = [f"{path}/{DAY}={d.isoformat()}" for d in days]
+    return spark.read.schema(full).option("basePath", path).parquet(*folders).filter(F.col(DAY).isin(*days))
+
+
+def read_newest_day(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest stored day of a hot table or mart, found in the folder list: a "current" read scans
+    one day instead of the table."""
     days = list_days(spark, path)
-    if len(days) <= back:
-        return spark.createDataFrame([], schema)
-    day = datetime.combine(days[-1 - back], datetime.min.time())
-    return read_table(spark, path, schema, day, day + timedelta(days=1))
+    return read_days(spark, path, schema, days[-1:]).drop(DAY) if days else spark.createDataFrame([], schema).drop(DAY)
 
 
 def archive_tables(spark: SparkSession, state_root: str, lake_root: str, as_of,

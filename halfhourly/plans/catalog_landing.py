@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from halfhourly.functions.columns import sequence_of, ts_lit
 from halfhourly.operators import lake, merge, quality
+from halfhourly.plans import reads
 from halfhourly.plans.catalog import (
     A, AS_OF, AS_OF_DAY, COMPACT_KEEP_DAYS, HH, REFRESH, Tables, _band_sql, _carbon_reduce_sql, _refresh_lo, _sql_ts, _with,
 )
@@ -31,8 +32,20 @@ CLEARED_DAY = AS_OF_DAY - timedelta(days=2)
 # wire documents -> rows, rejects
 # ---------------------------------------------------------------------------
 
+def _spread(t: Tables) -> DataFrame:
+    """``events`` over all cores: the stand-in is a file of one row group, which a single task would read and check."""
+    return t.events.repartition(t.spark.sparkContext.defaultParallelism)
+
+
+def _documents(t: Tables, feed: str) -> DataFrame:
+    """The feed's documents, landed: a text that is only an expression would be made again wherever the check looks at it."""
+    path = f"{_root(t.spark)}/{feed}"
+    getattr(documents, feed)(_spread(t)).write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
 def _checked(t: Tables, feed: str) -> DataFrame:
-    return ingest.check(getattr(documents, feed)(t.events), [feed], t.dim())
+    return ingest.check(_documents(t, feed), [feed], t.dim())
 
 
 def _parsed(t: Tables, feed: str) -> DataFrame:
@@ -87,7 +100,7 @@ def q_wire_counts(spark, sf_dir):
 def _ingested(spark: SparkSession, sf_dir: str, table: str, root: str) -> str:
     t = Tables(spark, sf_dir)
     for feed in ingest.TABLE_SOURCES[table]:
-        getattr(documents, feed)(t.events).write.mode("append").parquet(f"{root}/landed/{table}")
+        getattr(documents, feed)(_spread(t)).write.mode("append").parquet(f"{root}/landed/{table}")
     batch = spark.read.parquet(f"{root}/landed/{table}")
     for _ in range(2):
         ingest.process_batch(spark, batch, table, f"{root}/state", f"{root}/quarantine", t.dim(), "one")
@@ -170,13 +183,66 @@ def q_lake_price(spark, sf_dir):
 
 
 def q_lake_backfill(spark, sf_dir):
-    """National history straight into the lake, twice; the newest document of a period counts."""
+    """National history straight into the lake, twice; the newest document of a period counts.  The whole lake is read back."""
     rows = _parsed(Tables(spark, sf_dir), "national")
     newest = merge.upsert_carbon(spark.createDataFrame([], CARBON_SCHEMA), rows, F.col("_received_at"), F.col("_seq"))
     root = _root(spark)
     lake.backfill(newest, root)
     lake.backfill(newest, root)
-    return lake.scan_lake(spark, root, "carbon_intensity", AS_OF_DAY - timedelta(days=10), AS_OF)
+    return lake.scan_lake(spark, root, "carbon_intensity")
+
+
+def q_lake_day_scan(spark, sf_dir):
+    """One day of the hot carbon table, half-open."""
+    return lake.scan_day(Tables(spark, sf_dir).carbon(), AS_OF_DAY)
+
+
+def q_lake_sql(spark, sf_dir):
+    """Ad-hoc SQL over archived tables, its parameters bound by name."""
+    root = _archived(spark, sf_dir)[0]
+    views = {n: lake.scan_lake(spark, root, n) for n in ("carbon_intensity", "agile_price")}
+    text = """SELECT c.region_id, CAST(count(*) AS BIGINT) AS half_hours, min(c.forecast_gco2_per_kwh) AS least,
+       max(p.price_pence_per_kwh_inc_vat) AS dearest
+FROM carbon_intensity c LEFT JOIN agile_price p USING (region_id, period_start_utc)
+WHERE c.period_day >= DATE(${SINCE}) AND c.region_id <> ${REGION} GROUP BY c.region_id"""
+    return reads.ad_hoc(spark, text, views, SINCE=str((AS_OF_DAY - timedelta(days=4)).date()), REGION=3)[0]
+
+
+def q_lake_catalog(spark, sf_dir):
+    """Archived tables through the catalog: registered while the last day is missing, taken up again after it came."""
+    t, root, database = Tables(spark, sf_dir), _root(spark), f"lake_{uuid.uuid4().hex[:12]}"
+    tables = {"carbon_intensity": t.carbon(), "agile_price": t.price()}
+    lake.archive(tables, root, AS_OF_DAY - timedelta(hours=12), ARCHIVE_DAYS)
+    created = lake.ensure_tables(spark, root, database)
+    lake.archive(tables, root, AS_OF, 1)
+    again = lake.ensure_tables(spark, root, database)
+    out = None
+    for name in tables:
+        one = spark.table(f"{database}.{name}").groupBy(lake.DAY).agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(
+            F.lit(name).alias("table_name"), "*", F.lit(created).cast("bigint").alias("created"), F.lit(again).cast("bigint").alias("created_again"))
+        out = one if out is None else out.unionByName(one)
+    rows = spark.createDataFrame(out.collect(), out.schema)  # a row a table and archived day
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return rows
+
+
+def q_ingest_stream_files(spark, sf_dir):
+    """Price documents as files, a folder a tariff code, read by the ingest stream in two polls with one checkpoint; the hot
+    table they end in.  (Instants of arrival are the files' own and left out.)"""
+    t, root = Tables(spark, sf_dir), _root(spark)
+    docs = documents.prices(t.events).withColumn("late", F.dayofmonth("received_at") > 15).persist()
+    codes = sorted(r[0] or "none" for r in docs.select("tariff_code").distinct().collect())  # one a region
+    for late in (False, True):
+        for code in codes:
+            own = docs.filter((F.col("late") == late) & (F.coalesce("tariff_code", F.lit("none")) == code)).select("payload")
+            own.write.mode("append").option("maxRecordsPerFile", 1).text(f"{root}/landed/prices/{code}")
+        for q in ingest.ingest_stream(spark, f"{root}/landed", f"{root}/state", f"{root}/checkpoints", f"{root}/quarantine",
+                                      tables=["agile_price"], dim=t.dim()):
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+    docs.unpersist()
+    return lake.read_table(spark, f"{root}/state/agile_price", PRICE_SCHEMA).drop("ingested_at_utc")
 
 
 def q_dq_hot_mix(spark, sf_dir):
@@ -323,8 +389,18 @@ LEFT JOIN stored s ON s.table_name = n.table_name AND CAST(s.period_start_utc AS
        CAST(price_pence_per_kwh_exc_vat AS REAL) AS price_pence_per_kwh_exc_vat, CAST(period_start_utc AS DATE) AS period_day
 FROM price WHERE {_ARCHIVED}"""),
     "lake_backfill": _with(f"""{_NATIONAL}
-SELECT {_LAKE_CARBON} FROM {_carbon_reduce_sql('nat')}
-WHERE period_start_utc >= {_sql_ts(AS_OF_DAY - timedelta(days=10))} AND period_start_utc < {A}"""),
+SELECT {_LAKE_CARBON} FROM {_carbon_reduce_sql('nat')}"""),
+    "lake_day_scan": _with(f"SELECT * FROM carbon WHERE CAST(period_start_utc AS DATE) = CAST({_sql_ts(AS_OF_DAY)} AS DATE)"),
+    "lake_sql": _with(f"""SELECT c.region_id, CAST(count(*) AS BIGINT) AS half_hours, min(c.forecast_gco2_per_kwh) AS least,
+       max(CAST(p.price_pence_per_kwh_inc_vat AS REAL)) AS dearest
+FROM (SELECT * FROM carbon WHERE {_ARCHIVED}) c LEFT JOIN (SELECT * FROM price WHERE {_ARCHIVED}) p USING (region_id, period_start_utc)
+WHERE CAST(c.period_start_utc AS DATE) >= CAST({_sql_ts(AS_OF_DAY - timedelta(days=4))} AS DATE) AND c.region_id <> 3 GROUP BY c.region_id"""),
+    "lake_catalog": _with(f"""days AS (SELECT region_id, CAST(period_start_utc AS DATE) AS period_day, 'carbon_intensity' AS table_name FROM carbon
+  UNION ALL SELECT region_id, CAST(period_start_utc AS DATE), 'agile_price' FROM price)
+SELECT table_name, period_day, CAST(count(*) AS BIGINT) AS rows, CAST(3 AS BIGINT) AS created, CAST(0 AS BIGINT) AS created_again FROM days
+WHERE period_day >= CAST({_sql_ts(AS_OF_DAY - timedelta(days=ARCHIVE_DAYS + 1))} AS DATE) AND period_day < CAST({_sql_ts(AS_OF_DAY)} AS DATE)
+GROUP BY 1, 2"""),
+    "ingest_stream_files": _with(f"{_PRICES}\nSELECT * EXCLUDE (received_at) FROM wire_prices"),
     "dq_hot_mix": _with(" UNION ALL ".join(
         [f"SELECT 'not_null' AS \"check\", 'generation_mix' AS table_name, '{c}' AS column_name, "
          f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM mix" for c in _MIX_ALL]

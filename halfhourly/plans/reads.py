@@ -12,13 +12,13 @@ import re
 import time
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from halfhourly.functions.columns import (
     band_class, band_code, band_from_code, display_value, is_forecast, ts_lit, utc_naive,
 )
-from halfhourly.operators.lake import DAY, day_bounds, list_days, read_newest_day
+from halfhourly.operators.lake import DAY, day_bounds, list_days, read_days, read_newest_day
 from halfhourly.schemas import (
     DEFAULT_PRICE_REGION_ID, FIRST_DNO_REGION_ID, LAST_DNO_REGION_ID, MAX_RANGE_DAYS,
     NATIONAL_REGION_ID,
@@ -149,19 +149,23 @@ def carbon_current(hh: DataFrame, region_id: int | None = None) -> DataFrame:
 
 
 def carbon_current_stored(spark: SparkSession, path: str, schema, region_id: int) -> DataFrame:
-    """``carbon_current`` of one region on a stored mart: walks back from the newest stored
-    day until the region has a row, so it reads one day as a rule and not the table."""
-    found = carbon_current(spark.createDataFrame([], schema), region_id)
-    for back in range(len(list_days(spark, path))):
-        found = carbon_current(read_newest_day(spark, path, schema, back), region_id)
-        if not found.isEmpty():
-            break
-    return found
+    """``carbon_current`` of one region on a stored mart: the newest stored day has a row of it as a rule;
+    else one top-1 over the days before."""
+    days = list_days(spark, path)
+    if not days:
+        return carbon_current(spark.createDataFrame([], schema), region_id)
+    newest = carbon_current(read_days(spark, path, schema, days[-1:]), region_id)
+    if len(days) == 1 or not newest.isEmpty():
+        return newest
+    return carbon_current(read_days(spark, path, schema, days[:-1]), region_id)
 
 
 def generation_mix_stored(spark: SparkSession, path: str, schema) -> DataFrame:
-    """``generation_mix_current`` on a stored mart: the newest period lies in the newest stored day."""
-    return generation_mix_current(read_newest_day(spark, path, schema))
+    """``generation_mix_current`` on a stored mart: the newest period lies in the newest stored day, whose 528 rows
+    at most fit one task, so the newest period is found without a second job or a shuffle."""
+    day = read_newest_day(spark, path, schema).coalesce(1)
+    newest = day.withColumn("_p", F.max("period_start_utc").over(Window.partitionBy()))
+    return _sorted_small(newest.filter(F.col("period_start_utc") == F.col("_p")).drop("_p"), F.col("mw").desc())
 
 
 def carbon_range(hh: DataFrame, from_ts, to_ts, region_id: int | None = None) -> DataFrame:

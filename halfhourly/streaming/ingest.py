@@ -20,9 +20,10 @@ day-partitioned hot table, rewriting only the days the batch touches.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -98,29 +99,29 @@ def check(batch: DataFrame, sources: list[str], dim: DataFrame | None = None) ->
 def process_batch(spark: SparkSession, batch: DataFrame, table: str, state_root: str,
                   quarantine_root: str, dim: DataFrame | None = None, batch_id: str | int = "once") -> dict:
     """Contract split -> quarantine -> parse -> merge into touched days.  The quarantine is kept by
-    ``batch_id`` and a replay overwrites its own, so it never doubles."""
+    ``batch_id`` (of a stream: its query and batch) and a replay overwrites its own, so it never doubles.  Checked
+    documents and parsed rows are each evaluated once."""
     sources = TABLE_SOURCES[table]
     checked = check(batch, sources, dim).persist()
+    rows = None
     try:
         bad = checked.filter(F.size("violations") > 0)
         good = checked.filter(F.size("violations") == 0).drop("violations")
         (bad.select("source", "file", "received_at", "payload", "violations")
          .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("source")
          .parquet(os.path.join(quarantine_root, table, f"batch_id={batch_id}")))
-        rows = None
         for src in sources:
             part = parse(src, good.filter(F.col("source") == src), dim)
             rows = part if rows is None else rows.unionByName(part)
-        # rows written (K4): observed on the merge's first pass over the batch
-        obs = Observation(f"rows_{table}_{id(batch)}")
-        plain = rows
-        rows = rows.observe(obs, merge.upsert_count(rows))
+        rows = rows.persist()
+        written = rows.agg(merge.upsert_count(rows)).first()[0]  # rows written (K4), and the one pass that parses
         days = lake.merge_into_days(spark, os.path.join(state_root, table), rows, merge_fn(table),
                                     TABLE_SCHEMAS[table])
-        metrics = lake.observed(obs, lambda: {"rows_written": plain.count()})
-        return {"days": days, "rows_written": int(metrics.get("rows_written") or 0)}
+        return {"days": days, "rows_written": int(written)}
     finally:
         checked.unpersist()
+        if rows is not None:
+            rows.unpersist()
 
 
 def _ensure_dir(spark: SparkSession, path: str) -> None:
@@ -173,6 +174,13 @@ def _payload_columns(df: DataFrame, sources: list[str]) -> DataFrame:
     return out
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint folder: batches are numbered anew in a new one, so their number alone
+    would let a later query overwrite what an earlier one set aside."""
+    text = spark.read.option("wholetext", "true").text(f"{checkpoint}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
 def ingest_stream(spark: SparkSession, landing_root: str, state_root: str, checkpoint_root: str,
                   quarantine_root: str, tables=tuple(TABLE_SOURCES), dim: DataFrame | None = None,
                   available_now: bool = True, max_files_per_trigger: int | None = None,
@@ -183,11 +191,14 @@ def ingest_stream(spark: SparkSession, landing_root: str, state_root: str, check
     for table in tables:
         stream = payload_stream(spark, landing_root, table, max_files_per_trigger)
 
-        def run(batch_df: DataFrame, batch_id: int, _t=table) -> None:
-            process_batch(spark, batch_df, _t, state_root, quarantine_root, dim, batch_id)
+        checkpoint = os.path.join(checkpoint_root, table)
+
+        def run(batch_df: DataFrame, batch_id: int, _t=table, _c=checkpoint, _id=[]) -> None:  # noqa: B006 (read once a query)
+            _id[:] = _id or [_query_id(spark, _c)]
+            process_batch(spark, batch_df, _t, state_root, quarantine_root, dim, f"{_id[0]}-{batch_id}")
 
         w = (stream.writeStream.foreachBatch(run)
-             .option("checkpointLocation", os.path.join(checkpoint_root, table))
+             .option("checkpointLocation", checkpoint)
              .queryName(f"ingest_{table}"))
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
         out.append(w.start())

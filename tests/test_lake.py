@@ -2,11 +2,12 @@
 partition, other days stay untouched; retention and table registration."""
 
 import os
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from halfhourly.operators import lake
+from halfhourly.schemas import CARBON_SCHEMA
 from halfhourly.sources import adapters
 
 SF = "/root/testdata/sf0.001"
@@ -141,3 +142,29 @@ def test_offsets_are_kept():
     assert utc_naive("2024-07-15T12:00:00+01:00") == datetime(2024, 7, 15, 11)
     assert utc_naive(datetime(2024, 7, 15, 12, 0, 0, 5, tzinfo=timezone(timedelta(hours=-2)))) == datetime(2024, 7, 15, 14, 0, 0, 5)
     assert utc_naive("2024-07-15 12:00:00") == datetime(2024, 7, 15, 12)
+
+
+def test_catalog_takes_up_new_days_and_drops_gone_ones(spark, tmpdir_path):
+    import uuid
+    db, root = f"lake_{uuid.uuid4().hex[:8]}", f"{tmpdir_path}/lake"
+    rows = [(1, datetime(2024, 5, d, 1), datetime(2024, 5, d, 1, 30), 10 + d, None, "low", datetime(2024, 6, 1)) for d in range(1, 6)]
+    carbon = spark.createDataFrame(rows, CARBON_SCHEMA)
+    first, later = (carbon.filter(F.col("period_start_utc") < F.lit(x).cast("timestamp_ntz")) for x in ("2024-05-04", "2024-05-09"))
+    lake.overwrite_days(lake.to_lake(first, "carbon_intensity"), f"{root}/carbon_intensity", [date(2024, 5, d) for d in range(1, 4)])
+    assert lake.ensure_tables(spark, root, db) == 3
+    days = lambda: sorted(r[0].day for r in spark.sql(f"SELECT DISTINCT period_day FROM {db}.carbon_intensity").collect())
+    assert days() == [1, 2, 3]
+    lake.overwrite_days(lake.to_lake(later, "carbon_intensity"), f"{root}/carbon_intensity", [date(2024, 5, 4), date(2024, 5, 5)])
+    lake.drop_partitions(spark, f"{root}/carbon_intensity", [date(2024, 5, 1)])
+    assert lake.ensure_tables(spark, root, db) == 0 and days() == [2, 3, 4, 5]
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.carbon_intensity").collect()] == [f"period_day=2024-05-0{d}" for d in range(2, 6)]
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_only_the_asked_days_are_listed(spark, tmpdir_path):
+    rows = [(1, datetime(2024, 5, d, 1), datetime(2024, 5, d, 1, 30), 10 + d, None, "low", datetime(2024, 6, 1)) for d in range(1, 6)]
+    table = lake.with_day(spark.createDataFrame(rows, CARBON_SCHEMA))
+    assert lake.overwrite_days(table, tmpdir_path, [date(2024, 5, d) for d in range(1, 6)], count=False) == {}
+    got = lake.read_days(spark, tmpdir_path, CARBON_SCHEMA, [date(2024, 5, 2), date(2024, 5, 4)])
+    assert sorted(r.period_day.day for r in got.collect()) == [2, 4] and len(got.inputFiles()) == 2
+    assert [r.forecast_gco2_per_kwh for r in lake.read_newest_day(spark, tmpdir_path, CARBON_SCHEMA).collect()] == [15]

@@ -138,3 +138,19 @@ def test_processing_time_trigger(spark, tmpdir_path):
         for q in qs:
             q.stop()
     assert len(_rows(spark, os.path.join(st, "carbon_intensity"), CARBON_SCHEMA)) == 2 + 14
+
+
+def test_quarantine_outlives_a_new_checkpoint_folder(spark, tmpdir_path):
+    """A new checkpoint numbers its batches from 0 again; what the first query set aside stays."""
+    st, qu = (os.path.join(tmpdir_path, x) for x in ("state", "quar"))
+    for k in range(2):
+        land = os.path.join(tmpdir_path, f"landing{k}")
+        os.makedirs(os.path.join(land, "national"))
+        with open(os.path.join(land, "national", f"bad{k}.json"), "w") as f:
+            f.write("not json")
+        for _ in range(2):  # and a restart of either query adds nothing
+            for q in ingest.ingest_stream(spark, land, st, os.path.join(tmpdir_path, f"ck{k}"), qu, tables=["carbon_intensity"]):
+                q.awaitTermination(180)
+                assert q.exception() is None
+    kept = spark.read.parquet(os.path.join(qu, "carbon_intensity"))
+    assert sorted(r.file.rsplit("/", 1)[1] for r in kept.collect()) == ["bad0.json", "bad1.json"]
