@@ -14,6 +14,7 @@ from halfhourly.functions.columns import half_hour, ts_lit
 from halfhourly.operators import alerts, crosscheck, forecast, fuel_buckets, instants, lake, rollups, schedule, seasonal, versions
 from halfhourly.plans.catalog import A, AS_OF, CARBON_LOG_SQL, HH, Tables, _carbon_reduce_sql, _dt, _with
 from halfhourly.schemas import ALERT_HOLD_S, FUEL_BUCKETS, FUELS, STALENESS_LIMITS_S
+from halfhourly.plans.catalog_landing import _MIX, _PRICES, _REGIONAL, _SLOT
 from halfhourly.session import scratch_path
 from halfhourly.sources import adapters, documents, drift
 from halfhourly.streaming import late
@@ -298,13 +299,9 @@ def _held_out(spark, sf_dir) -> DataFrame:
     return forecast.held_out(series, ["region_id"], "period_start_utc", "forecast_gco2_per_kwh", FORECAST_CUTOFF, first, last)
 
 
-def q_forecast_held_out(spark, sf_dir):
-    """Seasonal least squares a region against "as a week before", on the last days (numbers, without a twin)."""
-    return _held_out(spark, sf_dir)
-
-
 def q_forecast_check(spark, sf_dir):
-    """The same in one row: counts, residuals that average out on the training rows, and the smaller error over all regions."""
+    """Seasonal least squares against "as a week before" on the last days, over all regions in one row: counts, residuals
+    that average out on the training rows, and the smaller error."""
     total = lambda c: F.sum(c).alias(c)
     return _held_out(spark, sf_dir).agg(
         total("n_train"), total("n_test"), total("n_compared"), (F.max(F.abs("train_bias")) < 1e-6).alias("unbiased"),
@@ -439,7 +436,7 @@ WHERE NOT (reader IN ('after', 'vacuumed') AND CAST(period_start_utc AS DATE) =
 
 #: Planted form of a national document -> what the profile should say of it.
 _NATIONAL_DRIFT = {1: ("$.data[].intensity.forecast", "other type", "STRING"), 2: ("$.data[].intensity.forecast", "other type", "DECIMAL"),
-                   5: ("$.data[].intensity.surprise", "unknown path", "BIGINT"), 6: ("$.data[].intensity.actual", "missing path", None),
+                   5: ("$.data[].intensity.leftover", "unknown path", "BIGINT"), 6: ("$.data[].intensity.actual", "missing path", None),
                    10: ("$.data[].intensity.forecast", "other type", "DECIMAL"), 11: ("$.data[].intensity.forecast", "other type", "VOID"),
                    12: ("$", "not json", None)}
 _quote = lambda x: "NULL" if x is None else f"'{x}'"
@@ -449,6 +446,30 @@ DRIFT_SQL = f"""SELECT 'national' AS source, path, finding, type_seen, min(CAST(
   ON event_id % {documents.NATIONAL_FORMS} = k GROUP BY path, finding, type_seen"""
 
 
+DRIFT_FEEDS_SQL = _with(f"""{_MIX},
+{_PRICES},
+{_REGIONAL},
+drifted AS (
+  SELECT 'regional' AS source, path, finding, type_seen, received_at FROM reg_docs JOIN (VALUES
+      (3, '$.datum', 'unknown path', 'ARRAY'), (3, '$.data', 'missing path', NULL),
+      (5, '$.data[].regions[].generationmix[].pct', 'unknown path', 'DECIMAL'),
+      (5, '$.data[].regions[].generationmix[].perc', 'missing path', NULL)) AS r(k, path, finding, type_seen) ON k = {_SLOT}
+  UNION ALL
+  SELECT 'generation_mix', path, finding, type_seen, received_at FROM mix_days JOIN (VALUES
+      (3, '$.result.records[].COAL_pct', 'unknown path', 'DECIMAL'),
+      (3, '$.result.records[].COAL_perc', 'missing path', NULL)) AS m(k, path, finding, type_seen) ON k = day(day) % 7
+  UNION ALL
+  SELECT 'generation_mix', '$.result.records[].' || wire, 'other type', 'VOID', received_at
+  FROM (SELECT day, wire, count(*) AS empty FROM mix_nulls GROUP BY day, wire) z JOIN mix_days d ON d.day = z.day AND z.empty = d.n
+  WHERE day(d.day) % 7 = 4
+  UNION ALL
+  SELECT 'prices', path, finding, type_seen, received_at FROM price_docs JOIN (VALUES
+      (1, '$.results[].value_inc_vat', 'other type', 'STRING'), (3, '$.results[].payment_method', 'missing path', NULL),
+      (4, '$.count', 'other type', 'BOOLEAN')) AS p(k, path, finding, type_seen) ON k = day(day) % 6)
+SELECT source, path, finding, type_seen, min(CAST(received_at AS DATE)) AS first_day, max(CAST(received_at AS DATE)) AS last_day,
+       CAST(count(*) AS BIGINT) AS documents FROM drifted GROUP BY source, path, finding, type_seen""")
+
+
 QUERIES = {
     "late_closed": q_late_closed,
     "late_rows": q_late_rows,
@@ -460,7 +481,6 @@ QUERIES = {
     "year_over_year": q_year_over_year,
     "week_over_week": q_week_over_week,
     "alert_episodes": q_alert_episodes,
-    "forecast_held_out": q_forecast_held_out,
     "forecast_check": q_forecast_check,
     "charging_worth": q_charging_worth,
     "best_blocks": q_best_blocks,
@@ -487,4 +507,5 @@ ORACLE = {
     "states_at_instants": STATES_AT_SQL,
     "days_replaced_at_once": DAYS_REPLACED_SQL,
     "drift_profile": DRIFT_SQL,
+    "drift_profile_feeds": DRIFT_FEEDS_SQL,
 }

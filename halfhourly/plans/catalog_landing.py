@@ -304,7 +304,7 @@ _REJECTS = f"""{_MIX},
 {_REGIONAL},
 rejects AS (
   SELECT 'national' AS source, 'national/' || lpad(CAST(event_id AS VARCHAR), 12, '0') || '.json' AS file, 1 AS n_violations,
-         CASE event_id % 16 WHEN 5 THEN '$.data[0].intensity.surprise: unknown key'
+         CASE event_id % 16 WHEN 5 THEN '$.data[0].intensity.leftover: unknown key'
            WHEN 6 THEN '$.data[0].intensity.actual: missing key' WHEN 7 THEN '$.data[0].intensity.index: not an accepted value'
            WHEN 11 THEN '$.data[0].intensity.forecast: null' WHEN 12 THEN '$: not an object'
            WHEN 9 THEN '$.data[0].intensity.forecast: not int' WHEN 10 THEN '$.data[0].intensity.forecast: not int'

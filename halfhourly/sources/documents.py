@@ -55,7 +55,7 @@ def national(events: DataFrame) -> DataFrame:
         _quoted(F.concat(_wall(plus_minutes(F.col("s"), 30), "minute"), F.lit("Z"))),
         F.lit(',"intensity":{"forecast":'), forecast,
         F.when(k == 6, F.lit("")).otherwise(F.concat(F.lit(',"actual":'), actual)),
-        F.lit(',"index":'), _quoted(band), F.when(k == 5, F.lit(',"surprise":1')).otherwise(F.lit("")), F.lit("}}]}"))
+        F.lit(',"index":'), _quoted(band), F.when(k == 5, F.lit(',"leftover":1')).otherwise(F.lit("")), F.lit("}}]}"))
     return own.select(
         F.when(k == 12, F.lit("not json")).otherwise(body).alias("payload"), F.col("ts").alias("received_at"),
         F.lit("national").alias("source"),

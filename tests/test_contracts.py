@@ -81,9 +81,9 @@ def test_prices_take_region_from_code(spark):
 def test_national_unknown_key_rejected(spark, where):
     doc = copy.deepcopy(NATIONAL)
     target = {"top": doc, "intensity": doc["data"][0]["intensity"], "period": doc["data"][0]}[where]
-    target["surprise"] = 1
+    target["leftover"] = 1
     v = _violations(spark, doc, contracts.NATIONAL)
-    assert len(v) == 1 and "surprise: unknown key" in v[0]
+    assert len(v) == 1 and "leftover: unknown key" in v[0]
 
 
 def test_regional_unknown_key_inside_region_rejected(spark):
