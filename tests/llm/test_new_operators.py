@@ -258,3 +258,19 @@ def test_manifest_of_empty_and_single_tables(awkward):
     assert merkle.manifest(awkward.limit(0), merkle.tampered()).collect() == []
     one = merkle.manifest(awkward.filter("doc_id = 7")).collect()
     assert [(r.leaf == r.subroot == r.root, r.proof_sha256, r.verified) for r in one] == [(True, H(""), True)]
+
+
+# -- 7: a doc_id with several texts -----------------------------------------------------------------------------------
+
+def test_passages_of_a_doc_id_with_several_texts(spark):
+    """Seeds and stretches come from one text of the doc_id, the first by hash."""
+    from halfhourly.llm import chaining
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    long, short, copy = " ".join(words), " ".join(words[:90]), " ".join(words[150:300])
+    df = spark.createDataFrame([(1, long), (1, short), (2, copy), (3, " ".join(words[20:85]))], "doc_id long, text string")
+    first = df.filter("doc_id = 1").orderBy(F.xxhash64("text")).first().text
+    got = {r.doc_id: r.repeated_words for r in chaining.passages(df).collect()}
+    alone = spark.createDataFrame([(1, first), (2, copy), (3, " ".join(words[20:85]))], "doc_id long, text string")
+    assert got == {r.doc_id: r.repeated_words for r in chaining.passages(alone).collect()}
+    assert got[2] == (150 if first == long else 0) and got[3] >= 55
