@@ -43,7 +43,7 @@ from halfhourly.llm.common import materialize, rebatch
 CAPACITY = 2048
 GROUPS, SMALL = 256, 3
 GAP = 5e-4  # of the linear programme: its bins are at most this share above the optimum
-PER_SALT = 50_000  # rows numbered in one window
+PER_SALT = 4_000  # rows numbered in one window: a length that most pieces have is spread over as many tasks
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
