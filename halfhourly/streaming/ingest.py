@@ -12,9 +12,9 @@ day-partitioned hot table, rewriting only the days the batch touches.
 * The merge is idempotent (newest-by-sequence, sticky ``actual``), so a
   replayed micro-batch (same ``batch_id`` after a failure) leaves the table
   as it was: overlapping re-reads collapse by key.
-* Late data needs no watermark state: a late or corrected half-hour is just
+* These tables need no watermark state: a late or corrected half-hour is just
   another batch merged into its day (and re-archived by the 2-day
-  rolling archive).
+  rolling archive).  Half-hours that close for good are ``streaming.late``'s.
 """
 
 from __future__ import annotations
