@@ -5,24 +5,27 @@ characters, and lengths/common words of its words.  The references are the sums
 of the same histograms over all documents of the language that pass the base
 rules, so they follow the corpus; a document is rejected if the Jensen-Shannon
 distance (square root of the divergence, base 2, so 0 to 1) of either histogram
-to its language's reference exceeds the threshold.  Short documents have noisy
-histograms, so each comparison has a minimum length below which it is skipped.
+to its language's reference exceeds the threshold.  Short texts have noisy
+histograms, so each comparison has a minimum length below which it is skipped:
+of the document, and for words of the reference too.
 
 Two passes over the text: the first counts per language (a map-side dictionary
 per batch, then one grouped sum, so a hot language costs nothing), the second
-scores with the reference, a table of languages x ``TOP_WORDS`` entries at most.
-The reference is bounded by ``MAX_LANGS`` languages; rarer ones (by documents,
-ties by name) share the pooled reference ``None``, which also serves documents
-whose language is null.
-
-Defined cases: null text = no words, base_failed; empty table = empty result; null
-language = pooled reference; repeated rows are judged one by one (same result);
+scores with the references, a table of one row a language.  Every language is judged
+by its own reference, however rare it is: one whose documents hold fewer than
+MIN_REFERENCE_WORDS words has no word histogram to compare with, and its documents are
+judged by the base rules and their characters.  Up to COLLECTED_LANGS languages the
+references travel with the tasks; beyond, the table is joined by language and salt, with the same result.
+
+Defined cases: null text = no words, base_failed; empty table = empty result; the documents without
+a language are judged like a language of their own; repeated rows are judged one by one (same result);
 doc_id may be null and is carried through; extra columns are ignored by
 ``score`` and kept by ``keep``.
 """
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,12 +42,13 @@ from halfhourly.llm.common import materialize, rebatch, space_words
 CLASSES = ("lower", "upper", "digit", "space", "mark", "symbol", "other", "wide")
 SYMBOLS = "#*$%&|<>"
 TOP_WORDS = 64
-MAX_LANGS = 1000
+COLLECTED_LANGS = 1000   # references kept in the tasks; more are joined
+SALTS = 64               # parts of a language in that join
 MIN_CHARS = 200          # character histogram judged from here
 MIN_WORDS = 100          # word histogram judged from here
 CHAR_LIMIT = 0.29
 WORD_LIMIT = 0.42
-MIN_REFERENCE_DOCS = 20  # a language with fewer passing documents uses the pooled reference
+MIN_REFERENCE_WORDS = 5000  # words a language must hold for its word histogram to tell anything
 
 SCORED = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
           "n_repeat_words long, base_failed boolean, char_distance double, word_distance double, kept boolean")
@@ -114,8 +118,7 @@ def _bare(words: list[str]) -> list[str]:
 
 
 def _count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per batch: counts per language of characters ('c'), words ('w') and documents ('d')
-    over the documents that pass the base rules."""
+    """Per batch: counts per language of characters ('c') and words ('w') over the documents that pass the base rules."""
     def rows(counts: dict) -> pd.DataFrame:
         return pd.DataFrame([(lang, kind, item, n) for (lang, kind), c in counts.items() for item, n in c.items()],
                             columns=["lang", "kind", "item", "n"])
@@ -131,7 +134,7 @@ def _count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             bare = Counter(_bare(words))
             bare.pop("", None)
             for key, c in (("c", dict(zip(CLASSES, char_histogram(text).tolist(), strict=True))),
-                           ("w", bare), ("d", {"docs": 1})):
+                           ("w", bare)):
                 counts.setdefault((lang, key), Counter()).update(c)
         held = sum(map(len, counts.values()))
         if held > 400_000:
@@ -141,43 +144,40 @@ def _count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows(counts)
 
 
-def references(docs: DataFrame) -> dict:
-    """{language: (class counts, {common word: index}, word counts)}; key None is pooled.
+def references(docs: DataFrame) -> DataFrame:
+    """(lang, reference): one row a language, its class counts, common words and word total as JSON.
 
     The top words of each language come from a two-level top-k (per language and
     salt, then per language), so a language with all the vocabulary is spread over
-    many tasks.  At most MAX_LANGS x (TOP_WORDS + classes + 2) rows reach the driver."""
+    many tasks; a reference has TOP_WORDS + classes + 1 entries at most."""
     counts = materialize(
         docs.select("lang", "text").mapInPandas(_count, "lang string, kind string, item string, n long")
         .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")), "quality-counts")
-    langs = (counts.filter("kind = 'd' AND lang IS NOT NULL").filter(F.col("n") >= MIN_REFERENCE_DOCS)
-             .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).select("lang"))
-    known = counts.join(F.broadcast(langs), "lang", "left_semi").withColumn("pooled", F.lit(False))
-    pooled = (counts.groupBy("kind", "item").agg(F.sum("n").alias("n"))
-              .select(F.lit("").alias("lang"), "kind", "item", "n", F.lit(True).alias("pooled")))
-    both = known.unionByName(pooled)
-    key = ["pooled", "lang"]
-    words = both.filter("kind = 'w'")
+    words = counts.filter("kind = 'w'")
     order = [F.desc("n"), F.col("item")]
-    top = words.withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(64)))
-    for by in ([*key, "salt"], key):
+    top = words.withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(SALTS)))
+    for by in (["lang", "salt"], ["lang"]):
         top = (top.withColumn("rank", F.row_number().over(W.partitionBy(*by).orderBy(*order)))
                .filter(F.col("rank") <= TOP_WORDS))
-    sums = (words.groupBy(*key).agg(F.sum("n").alias("n"))
-            .select(*key, F.lit("all").alias("kind"), F.lit("").alias("item"), "n"))
-    rows = (top.select(*key, "kind", "item", "n").unionByName(sums)
-            .unionByName(both.filter("kind = 'c'").select(*key, "kind", "item", "n")).collect())
-    by_lang: dict = {}
-    for r in rows:
-        by_lang.setdefault(None if r.pooled else r.lang, {}).setdefault(r.kind, {})[r.item] = r.n
-    out = {}
-    for lang, kinds in by_lang.items():
-        common = sorted(kinds.get("w", {}).items(), key=lambda x: (-x[1], x[0]))
-        n_all = kinds.get("all", {}).get("", 0)
-        out[lang] = (np.array([kinds.get("c", {}).get(c, 0) for c in CLASSES], float),
-                     {w: i for i, (w, _) in enumerate(common)},
-                     np.array([n for _, n in common] + [n_all - sum(n for _, n in common)], float))
-    return out
+    sums = (words.groupBy("lang").agg(F.sum("n").alias("n"))
+            .select("lang", F.lit("all").alias("kind"), F.lit("").alias("item"), "n"))
+    entries = (top.select("lang", "kind", "item", "n").unionByName(sums)
+               .unionByName(counts.filter("kind = 'c'").select("lang", "kind", "item", "n")))
+    return materialize(entries.groupBy("lang").agg(
+        F.to_json(F.collect_list(F.struct("kind", "item", "n"))).alias("reference")), "quality-references")
+
+
+def parse(reference: str | None):
+    """(class counts, {common word: index}, word counts) of a language; None where it has no passing document."""
+    if reference is None:
+        return None
+    kinds: dict = {}
+    for e in json.loads(reference):
+        kinds.setdefault(e["kind"], {})[e["item"]] = e["n"]
+    common = sorted(kinds.get("w", {}).items(), key=lambda x: (-x[1], x[0]))
+    n_all = kinds.get("all", {}).get("", 0)
+    return (np.array([kinds["c"].get(c, 0) for c in CLASSES], float), {w: i for i, (w, _) in enumerate(common)},
+            np.array([n for _, n in common] + [n_all - sum(n for _, n in common)], float))
 
 
 def divergences(text: str, words: list[str], reference) -> tuple[float | None, float | None]:
@@ -187,7 +187,7 @@ def divergences(text: str, words: list[str], reference) -> tuple[float | None, f
     classes, index, common = reference
     char = js_distance(char_histogram(text).astype(float), classes) if len(text) >= MIN_CHARS else None
     word = None
-    if len(words) >= MIN_WORDS and len(index):
+    if len(words) >= MIN_WORDS and common.sum() >= MIN_REFERENCE_WORDS:
         hist = np.zeros(len(common))
         get, other = index.get, len(common) - 1
         np.add.at(hist, np.fromiter((get(w, other) for w in _bare(words)), np.int64, len(words)), 1)
@@ -195,13 +195,31 @@ def divergences(text: str, words: list[str], reference) -> tuple[float | None, f
     return char, word
 
 
-def _score(refs: dict, limits: tuple[float, float]):
-    def judge(text: str | None, lang: str | None) -> tuple:
+def _referenced(docs: DataFrame) -> tuple[DataFrame, dict | None]:
+    """``docs`` with __quality_ref, and the references by language where they are few (the column is null then)."""
+    refs = references(docs)
+    few = refs.limit(COLLECTED_LANGS + 1).collect()
+    if len(few) <= COLLECTED_LANGS:
+        return docs.withColumn("__quality_ref", F.lit(None).cast("string")), {r.lang: parse(r.reference) for r in few}
+    dealt = refs.select(F.col("lang").alias("__quality_lang"), F.col("reference").alias("__quality_ref"),
+                        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__quality_salt"))
+    salt = F.pmod(F.xxhash64("text"), F.lit(SALTS))
+    return docs.join(dealt, docs.lang.eqNullSafe(F.col("__quality_lang")) & (salt == F.col("__quality_salt")), "left"), None
+
+
+def _judge(refs: dict | None, limits: tuple[float, float]):
+    own: dict = {}
+
+    def judge(text: str | None, lang: str | None, reference: str | None) -> tuple:
         text = text or ""
         words = space_words(text)
         counts = base_counts(text, words)
         failed = base_fails(counts[0], counts[4])
-        char, word = divergences(text, words, refs.get(lang, refs.get(None)))
+        if refs is None and lang not in own:
+            if len(own) >= COLLECTED_LANGS:
+                own.clear()
+            own[lang] = parse(reference)
+        char, word = divergences(text, words, (own if refs is None else refs).get(lang))
         odd = (char is not None and char > limits[0]) or (word is not None and word > limits[1])
         return (*counts, failed, char, word, not failed and not odd)
     return judge
@@ -209,21 +227,23 @@ def _score(refs: dict, limits: tuple[float, float]):
 
 def score(docs: DataFrame, limits: tuple[float, float] = (CHAR_LIMIT, WORD_LIMIT)) -> DataFrame:
     """One row per document: base counts, both distances (null: too short) and ``kept``."""
-    judge = _score(references(docs), limits)
+    own, refs = _referenced(docs.select("doc_id", "lang", "text"))
+    judge = _judge(refs, limits)
     names = [c.split()[0] for c in SCORED.split(", ")]
 
     def run(it):
         for pdf in rebatch(it, "text"):
-            rows = [judge(t, g) for t, g in zip(pdf["text"], pdf["lang"], strict=True)]
+            rows = [judge(*r) for r in zip(pdf["text"], pdf["lang"], pdf["__quality_ref"], strict=True)]
             out = pd.DataFrame(rows, columns=names[1:])
             out.insert(0, "doc_id", pdf["doc_id"])
             yield out
-    return docs.select("doc_id", "lang", "text").mapInPandas(run, SCORED)
+    return own.select("doc_id", "lang", "text", "__quality_ref").mapInPandas(run, SCORED)
 
 
 def keep(docs: DataFrame, limits: tuple[float, float] = (CHAR_LIMIT, WORD_LIMIT)) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they were."""
-    judge = _score(references(docs), limits)
+    own, refs = _referenced(docs)
+    judge = _judge(refs, limits)
     verdict = F.pandas_udf(
-        lambda text, lang: pd.Series([judge(t, g)[-1] for t, g in zip(text, lang, strict=True)], dtype=bool), "boolean")
-    return docs.filter(verdict(F.col("text"), F.col("lang")))
+        lambda text, lang, ref: pd.Series([judge(*r)[-1] for r in zip(text, lang, ref, strict=True)], dtype=bool), "boolean")
+    return own.filter(verdict("text", "lang", "__quality_ref")).select(*[F.col(f"`{c}`") for c in docs.columns])
