@@ -3,14 +3,16 @@
 Base spans come from fixed patterns per kind.  They are the seeds: the two words
 before a seed are a lexical pattern, and tokens of identifier shape (a digit or
 an at sign) that no base pattern covers are the unknown instances.  Patterns and
-instances form a bipartite graph, scored in rounds:
+instances form a bipartite graph.  A round scores the patterns it has, then admits new ones: instances it trusts are
+seeds in turn, also where no base seed ever stood.  Rounds go on until no pattern is added and no confidence rises by TOLERANCE
+(they only rise, and DAMPING makes them converge):
 
 * a pattern's confidence for a kind is the mean score of its distinct instances,
   where a seed of the kind counts 1, a seed of another kind 0, an unknown its score;
 * an unknown's score is the damped noisy-or of its patterns' confidences.
 
-Unknown tokens under a pattern with at least MIN_SEEDS distinct seeds and MIN_CONFIDENCE
-whose shape fits the kind become spans of that kind.  The graph holds distinct
+A pattern is admitted with at least MIN_SEEDS distinct seeds: base spans of the kind, and unknowns of its shape with
+a score of MIN_CONFIDENCE.  Unknown tokens under a pattern with MIN_CONFIDENCE whose shape fits the kind become spans of that kind.  The graph holds distinct
 (pattern, instance) pairs only; every step is a grouped aggregate or an equi-join on
 them, so a pattern with a third of all occurrences is combined before the shuffle.
 
@@ -33,8 +35,8 @@ from halfhourly.llm.common import let, materialize
 KINDS = ("email", "ip", "card", "phone")
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.6
-ROUNDS = 3
 DAMPING = 0.9
+TOLERANCE = 0.01
 STEP = 128
 CONTEXT = 64  # code points before a span that its context words come from
 
@@ -109,7 +111,11 @@ def base(docs: DataFrame) -> DataFrame:
     seeds = "concat(" + ", ".join(
         f"transform({k}, m -> named_struct('k', {i}, 'token', m.v, 's', m.s, 'e', m.e, 'ctx', {_CTX}))"
         for i, k in enumerate(KINDS)) + ")"
-    covered = " or ".join(f"exists({k}, b -> b.s < m.e and m.s < b.e)" for k in KINDS)
+    # spans of a kind are in order and apart, so only the last one that starts before a token's end can cover it:
+    # found by halving steps over the array
+    steps = "transform(sequence(cast(floor(log2(size({k}) + 1)) as int), 0, -1), j -> cast(shiftleft(1, j) as int))"
+    last = ("aggregate(" + steps + ", 0, (a, p) -> if(a + p <= size({k}), if(get({k}, a + p - 1).s < m.e, a + p, a), a))")
+    covered = " or ".join(f"(size({k}) > 0 and coalesce(get({k}, {last.format(k=k)} - 1).e > m.s, false))" for k in KINDS)
     unknown = f"filter(token, m -> not ({covered}))"
     # a token's surrounding marks are not part of it
     unknown = (f"filter(transform({unknown}, m -> named_struct('k', -1, 'token', "
@@ -123,31 +129,52 @@ def base(docs: DataFrame) -> DataFrame:
 
 def learn(found: DataFrame) -> DataFrame:
     """(ctx, k, confidence) of the patterns that the bootstrapping trusts."""
-    near = found.select(F.explode("near").alias("u")).select("u.ctx", "u.k", "u.token").distinct()
-    graph_path = materialize(near, "pattern-edges")
-    seeds = (graph_path.filter("k >= 0").groupBy("ctx", F.col("k").alias("kind")).agg(F.count("*").alias("seeds"))
-             .filter(F.col("seeds") >= MIN_SEEDS).select("ctx", "kind"))
-    graph = materialize(graph_path.join(seeds, "ctx"), "pattern-graph")
+    edges = materialize(found.select(F.explode("near").alias("u")).select("u.ctx", "u.k", "u.token").distinct(), "pattern-edges")
+    unknown = edges.filter("k < 0")
+    base_seeds = materialize(edges.filter("k >= 0").groupBy("ctx", F.col("k").alias("kind"))
+                             .agg(F.count("*").alias("seeds")), "pattern-seeds")
     known = F.when(F.col("k") == F.col("kind"), 1.0).when(F.col("k") >= 0, 0.0)
-    score = None
-    for _ in range(ROUNDS):
-        rows = graph if score is None else graph.join(score, ["token", "kind"], "left")
-        unknown = F.lit(0.0) if score is None else F.when(F.col("k") < 0, F.col("score"))
+    patterns = admitted = score = None
+    while True:
+        seeds = base_seeds
+        if score is not None:
+            sure = score.filter(F.col("score") >= MIN_CONFIDENCE).filter(F.expr(_fits("kind")))
+            seeds = seeds.unionByName(unknown.join(sure, "token").groupBy("ctx", "kind").agg(F.count("*").alias("seeds")))
+        now = materialize(seeds.groupBy("ctx", "kind").agg(F.sum("seeds").alias("seeds"))
+                          .filter(F.col("seeds") >= MIN_SEEDS).select("ctx", "kind"), "pattern-admitted")
+        if admitted is None or now.count() > admitted.count():
+            graph = materialize(edges.join(now, "ctx"), "pattern-graph")
+        rows, before = graph, patterns
+        if score is not None:
+            rows = rows.join(score, ["token", "kind"], "left")
+        of_unknown = F.lit(0.0) if score is None else F.when(F.col("k") < 0, F.col("score"))
         patterns = materialize(rows.groupBy("ctx", "kind").agg(
-            F.avg(F.coalesce(known, unknown, F.lit(0.0))).alias("confidence")), "pattern-scores")
-        score = (graph.filter("k < 0").join(patterns, ["ctx", "kind"]).groupBy("token", "kind").agg(
-            (DAMPING * (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))))).alias("score")))
+            F.avg(F.coalesce(known, of_unknown, F.lit(0.0))).alias("confidence")), "pattern-scores")
+        if before is not None:
+            rise = (patterns.join(before.withColumnRenamed("confidence", "earlier"), ["ctx", "kind"], "left")
+                    .filter(F.col("earlier").isNull() | (F.col("confidence") - F.col("earlier") >= TOLERANCE)))
+            if rise.isEmpty():
+                break
+        elif patterns.isEmpty():
+            break
+        admitted = now
+        score = materialize(graph.filter("k < 0").join(patterns, ["ctx", "kind"]).groupBy("token", "kind").agg(
+            (DAMPING * (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))))).alias("score")), "pattern-instances")
     return patterns.filter(F.col("confidence") >= MIN_CONFIDENCE).select("ctx", F.col("kind").alias("k"), "confidence")
 
 
+def _fits(kind: str) -> str:
+    """SQL: whether ``token`` has a shape of the kind numbered by the column ``kind``."""
+    return "case " + " ".join(f"when {kind} = {i} then {_FITS[k]}" for i, k in enumerate(KINDS)) + " end"
+
+
 def _all_spans(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, spans (base) and more (learned), the same structs; one row per row of ``docs``."""
     found = materialize(base(docs), "personal-base")
-    fits = "case " + " ".join(f"when k = {i} then {_FITS[k]}" for i, k in enumerate(KINDS)) + " end"
     best = (learn(found).groupBy("ctx").agg(F.max_by("k", F.struct("confidence", -F.col("k"))).alias("k")))
     unknown = (found.select("doc_id", "text_key", F.explode("near").alias("u")).filter("u.k < 0")
                .select("doc_id", "text_key", "u.ctx", "u.token", "u.s", "u.e"))
-    more = (unknown.join(best, "ctx").filter(F.expr(fits))
+    more = (unknown.join(best, "ctx").filter(F.expr(_fits("k")))
             .groupBy("doc_id", "text_key")
             .agg(F.collect_set(F.struct("s", "k", "e")).alias("more"))
             .withColumnsRenamed({"doc_id": "d", "text_key": "t"}))
