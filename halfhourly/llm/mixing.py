@@ -19,11 +19,12 @@ the next level, up to one per source.  That last fraction, one document of a
 source at most, is met by the leading part of one further copy (``slice_words``).
 A source with a third of all rows is just more blocks.
 
-Everything is drawn from hashes of doc_id and a seed, so reruns agree.
+Everything is drawn from hashes of doc_id, text and a seed, so reruns agree.
 
 Defined cases: null or empty text: size 0, taken 0; null source: a source of its own, last; a source
 without words has target 0; no words at all: targets 0; repeated rows (same doc_id) are
-separate documents that are dealt alike; null doc_id is a value like any other; an empty
+separate documents: equal ones are counted, then numbered, so that they spread over the blocks, and share out what
+they get in any order; null doc_id is a value like any other; an empty
 table gives an empty result; extra columns are ignored by ``mix`` and kept by ``apply``.
 """
 
@@ -44,8 +45,8 @@ _SIZE = r"cast(coalesce(regexp_count(text, '[^\\x20\\x09-\\x0D]+'), 0) as long)"
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size: words per document, once over the texts."""
-    return docs.select("doc_id", "source", F.expr(_SIZE).alias("size"))
+    """doc_id, source, size (words), text_key per document, once over the texts."""
+    return docs.select("doc_id", "source", F.expr(_SIZE).alias("size"), F.xxhash64("text").alias("text_key"))
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -79,8 +80,8 @@ def targets(sized: DataFrame) -> DataFrame:
 _FOLD = f"""
 aggregate(
   units,
-  named_struct('cur', cast(null as struct<doc_id: bigint, size: bigint, p: double, h: bigint>),
-               'out', cast(array() as array<struct<doc_id: bigint, size: bigint, up: int>>)),
+  named_struct('cur', cast(null as struct<doc_id: bigint, text_key: bigint, size: bigint, p: double, h: bigint>),
+               'out', cast(array() as array<struct<doc_id: bigint, text_key: bigint, size: bigint, up: int>>)),
   (a, b) -> if(a.cur is null, named_struct('cur', b, 'out', a.out),
     element_at(transform(array(named_struct(
         -- words that can move to the current unit and away from it
@@ -91,23 +92,29 @@ aggregate(
         element_at(transform(array(named_struct('pa', a.cur.p + m / a.cur.size, 'pb', b.p - m / b.size)), q ->
           -- the unit whose limit bound the move is decided, exactly
           if(if(m >= 0, a.cur.size * (1 - a.cur.p) <= b.size * b.p, a.cur.size * a.cur.p <= b.size * (1 - b.p)),
-             named_struct('cur', named_struct('doc_id', b.doc_id, 'size', b.size, 'p', least(greatest(q.pb, 0D), 1D), 'h', b.h),
-                          'out', concat(a.out, array(named_struct('doc_id', a.cur.doc_id, 'size', a.cur.size,
+             named_struct('cur', named_struct('doc_id', b.doc_id, 'text_key', b.text_key, 'size', b.size, 'p', least(greatest(q.pb, 0D), 1D), 'h', b.h),
+                          'out', concat(a.out, array(named_struct('doc_id', a.cur.doc_id, 'text_key', a.cur.text_key, 'size', a.cur.size,
                                                                   'up', if(m >= 0, 1, 0))))),
-             named_struct('cur', named_struct('doc_id', a.cur.doc_id, 'size', a.cur.size,
+             named_struct('cur', named_struct('doc_id', a.cur.doc_id, 'text_key', a.cur.text_key, 'size', a.cur.size,
                                               'p', least(greatest(q.pa, 0D), 1D), 'h', a.cur.h),
-                          'out', concat(a.out, array(named_struct('doc_id', b.doc_id, 'size', b.size,
+                          'out', concat(a.out, array(named_struct('doc_id', b.doc_id, 'text_key', b.text_key, 'size', b.size,
                                                                   'up', if(m >= 0, 0, 1))))))), 1)), 1)), 1)))
 """
 
 
 def pivot(units: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Round the fractional ``units`` (rank, doc_id, size, p); ``blocks``: (rank, k) blocks per source.
-    Returns (rank, doc_id, size, up, slice_words) for every unit."""
+    """Round the fractional ``units`` (rank, doc_id, size, p, and text_key where a doc_id may have several rows); ``blocks``:
+    (rank, k) blocks per source.  Returns (rank, doc_id, text_key, size, up, slice_words) for every unit."""
+    if "text_key" not in units.columns:
+        units = units.withColumn("text_key", F.lit(0).cast("long"))
+    equal = ["rank", "doc_id", "text_key", "size", "p"]
+    units = (units.groupBy(*equal).agg(F.count("*").alias("n"))
+             .select(*equal, F.explode(F.sequence(F.lit(1), F.col("n"))).alias("turn")))
     most = blocks.agg(F.max("k").alias("k")).collect()[0].k or 1
     level = units.join(_small(blocks), "rank").select(
-        "rank", F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "size"), F.col("k")).alias("block"),
-        F.struct("doc_id", "size", "p", F.xxhash64(F.lit(SEED + 1), "doc_id", "size").alias("h")).alias("unit"))
+        "rank", F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text_key", "size", "turn"), F.col("k")).alias("block"),
+        F.struct("doc_id", "text_key", "size", "p",
+                 F.xxhash64(F.lit(SEED + 1), "doc_id", "text_key", "size", "turn").alias("h")).alias("unit"))
     decided, turn = None, 0
     while True:
         grouped = level.groupBy("rank", "block").agg(F.collect_list("unit").alias("units"))
@@ -116,11 +123,12 @@ def pivot(units: DataFrame, blocks: DataFrame) -> DataFrame:
             "transform(array_sort(transform(units, x -> named_struct('o', -x.size, 'h', x.h, 'd', x.doc_id, 'x', x))), y -> y.x)"))
         done = materialize(order.select("rank", "block", F.expr(_FOLD).alias("f"))
                            .select("rank", "block", "f.cur", "f.out"), f"pivot-{turn}")
-        out = done.select("rank", F.inline("out")).select("rank", "doc_id", "size", "up", F.lit(0).cast("long").alias("slice_words"))
+        out = done.select("rank", F.inline("out")).select(
+            "rank", "doc_id", "text_key", "size", "up", F.lit(0).cast("long").alias("slice_words"))
         decided = out if decided is None else decided.unionByName(out)
         rest = done.filter("cur is not null")
         if most <= 1:
-            last = rest.select("rank", "cur.doc_id", "cur.size", F.lit(0).alias("up"),
+            last = rest.select("rank", "cur.doc_id", "cur.text_key", "cur.size", F.lit(0).alias("up"),
                                F.round(F.col("cur.p") * F.col("cur.size")).cast("long").alias("slice_words"))
             return decided.unionByName(last)
         turn, most = turn + 1, -(-most // FAN)
@@ -133,38 +141,53 @@ def _small(per_source: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies (whole), slice_words, taken; one row per row of ``docs``."""
+    """doc_id, source, size, source_size, target, copies (whole), slice_words, taken, text_key; one row per row of ``docs``."""
     sized = materialize(sizes(docs), "sizes")
     goal = materialize(targets(sized), "targets")
     own = (sized.join(_small(goal), sized.source.eqNullSafe(goal.source))
-           .select("doc_id", sized.source, "size", "rank", "source_size", "target",
+           .select("doc_id", sized.source, "size", "text_key", "rank", "source_size", "target",
                    F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate")))
     own = own.withColumn("whole", F.floor("rate")).withColumn("p", F.col("rate") - F.col("whole"))
     loose = F.col("size") * F.col("p") > 0
     blocks = goal.select("rank", F.greatest(F.lit(1), F.ceil(F.col("documents") / BLOCK)).alias("k"))
-    rounded = pivot(own.filter(loose).select("rank", "doc_id", "size", "p"), blocks)
-    fixed = own.filter(~loose).select("rank", "doc_id", "size", F.lit(0).alias("up"), F.lit(0).cast("long").alias("slice_words"))
+    rounded = pivot(own.filter(loose).select("rank", "doc_id", "text_key", "size", "p"), blocks)
+    fixed = own.filter(~loose).select("rank", "doc_id", "text_key", "size", F.lit(0).alias("up"),
+                                      F.lit(0).cast("long").alias("slice_words"))
     every = rounded.unionByName(fixed)
     facts = goal.select("rank", "source", "source_size", "target",
                         F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
                         .alias("whole"))
     out = every.join(_small(facts), "rank").withColumn("copies", (F.col("whole") + F.col("up")).cast("long"))
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", "slice_words",
-                      (F.col("copies") * F.col("size") + F.col("slice_words")).alias("taken"))
+                      (F.col("copies") * F.col("size") + F.col("slice_words")).alias("taken"), "text_key")
+
+
+#: The first ``slice_words`` words of a text, with what stands between them.
+_SLICE = (r"array_join(slice(regexp_extract_all(text, '[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++', 0), 1, "
+          "cast(slice_words as int)), '')")
 
 
 def apply(docs: DataFrame) -> DataFrame:
-    """The mixture: the rows of ``docs`` that it takes, with ``copies`` whole copies and the first
-    ``slice_words`` words of one more (columns of these names in ``docs`` give way).  Rows that share doc_id, source and size share a decision in turn."""
-    key = lambda size: F.xxhash64("doc_id", "source", size)
+    """The mixture itself: a row for every whole copy (``copies`` 1, ``slice_words`` 0), and one for the part of a further
+    copy, whose text is its first ``slice_words`` words (``copies`` 0).  So the words of a source's rows come to its target.
+    Columns of these names in ``docs`` give way; n_chars follows a cut text if there is one."""
+    key = lambda text: F.xxhash64("doc_id", "source", text)
     turn = lambda *by: F.row_number().over(Window.partitionBy("__mix_k").orderBy(*by))
-    plan = (mix(docs).withColumn("__mix_k", key("size"))
+    plan = (mix(docs).withColumn("__mix_k", key("text_key"))
             .withColumn("__mix_turn", turn(F.desc("copies"), F.desc("slice_words")))
             .filter("copies > 0 OR slice_words > 0").select(F.col("__mix_k").alias("__mix_plan"), "__mix_turn", "copies", "slice_words"))
     keep = [c for c in docs.columns if c not in ("copies", "slice_words")]
-    own = (docs.select(*[F.col(f"`{c}`") for c in keep])
-           .withColumn("__mix_size", F.expr(_SIZE)).withColumn("__mix_k", key("__mix_size"))
-           .withColumn("__mix_mine", turn(F.xxhash64("text"))))
+    columns = [F.col(f"`{c}`") for c in keep]
+    own = (docs.select(*columns).withColumn("__mix_text", F.xxhash64("text")).withColumn("__mix_k", key("__mix_text"))
+           .withColumn("__mix_mine", turn(F.lit(1))))  # rows of one key are equal in text, any order will do
     # one key only, so that the texts are dealt once for the window and the join
-    return (own.join(plan, (F.col("__mix_k") == F.col("__mix_plan")) & (F.col("__mix_mine") - F.col("__mix_turn") == 0))
-            .select(*[F.col(f"`{c}`") for c in keep], "copies", "slice_words"))
+    taken = own.join(plan, (F.col("__mix_k") == F.col("__mix_plan")) & (F.col("__mix_mine") - F.col("__mix_turn") == 0))
+    part = F.struct(F.lit(0).cast("long").alias("copies"), F.col("slice_words"))
+    whole = F.struct(F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("slice_words"))
+    each = F.concat(F.array_repeat(whole, F.col("copies").cast("int")), F.when(F.col("slice_words") > 0, F.array(part)).otherwise(F.array()))
+    out = taken.withColumn("__mix_each", each).drop("copies", "slice_words").select(*columns, F.inline("__mix_each"))
+    cut = F.col("slice_words") > 0
+    out = out.withColumn("text", F.when(cut, F.expr(_SLICE)).otherwise(F.col("text")))
+    if "n_chars" in keep:
+        out = out.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out
