@@ -51,6 +51,7 @@ COLLISION = 2.0 ** -MANTISSA / 3
 SLACK = 0.25
 BLOCK = 2048  # members of a bucket whose registers are compared in one task
 BROADCAST_IDS = 2_000_000  # 16 MB of ids
+REPEATED_ROWS = 2_000_000  # likewise of repeated ones
 VERIFY = 128  # nodes whose full sets are compared in one task, on either side
 
 _SIGNATURE = "doc_id long, n_shingles long, set_key binary, registers binary"
@@ -338,8 +339,38 @@ def components(docs: DataFrame, size: int, percent: int) -> DataFrame:
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def _nodes(docs: DataFrame) -> DataFrame | None:
+    """``docs`` with __near_id where doc_ids are null or repeated; None where each names one row.  Rows of one doc_id and one text
+    keep it; rows without doc_id, or whose doc_id has several texts, get a number from both, beyond 2^62."""
+    own = F.xxhash64("text")
+    repeated = materialize(
+        docs.groupBy("doc_id").agg(F.count("*").alias("n"), (F.min(own) != F.max(own)).alias("several"))
+        .filter("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__near_r"), "several"), "repeated-ids")
+    n = repeated.count()
+    if not n:
+        return None
+    known = repeated.filter("__near_r IS NOT NULL AND several").select("__near_r")
+    known = F.broadcast(known) if n <= REPEATED_ROWS else known
+    number = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
+    return (docs.join(known, F.col("doc_id") == F.col("__near_r"), "left")
+            .withColumn("__near_id", F.when(F.col("doc_id").isNull() | F.col("__near_r").isNotNull(), number)
+                        .otherwise(F.col("doc_id").cast("long"))).drop("__near_r"))
+
+
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, columns as they were.  Rows that
-    share that doc_id stay together; rows without a doc_id stay, nothing tells which of them to drop."""
-    drop = components(docs, size, percent).filter("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each component, columns as they were: that with the smallest doc_id.  Rows without doc_id, and rows whose doc_id
+    stands for several texts, are documents of their own and stay only where their component has no other; of equal rows
+    one stays (of rows that differ in other columns alone, the first by hash).  Rows without words are linked with nothing, so all stay."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    own = _nodes(docs)
+    if own is None:
+        drop = components(docs, size, percent).filter("NOT kept").select("doc_id")
+        return docs.join(drop, "doc_id", "left_anti").select(*columns)
+    texts = materialize(own.select(F.col("__near_id").alias("doc_id"), "text"), "near-texts")
+    kept = materialize(components(texts, size, percent).filter("kept").groupBy(F.col("doc_id").alias("__near_k"))
+                       .agg(F.when(F.max("n_shingles") > 0, F.count("*")).otherwise(1).alias("__near_n")), "near-kept")
+    rows = own.join(kept, F.col("__near_id") == F.col("__near_k"))
+    # few rows have an equal one; they are combined before they are dealt
+    equal = (rows.filter("__near_n > 1").groupBy("__near_id")
+             .agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("__near_row")).select("__near_row.*"))
+    return rows.filter("__near_n = 1").select(*columns).unionByName(equal)
