@@ -116,3 +116,51 @@ def test_contexts_are_the_text_before_the_span(spark):
         for m in re.finditer(r"(?<!\S)b7\S+", t):
             assert m.start() in starts or not re.search(r"\S+\s+\S+\s*$", t[max(0, m.start() - pii.CONTEXT):m.start()])
     assert seen > 500
+
+
+def test_passages_whose_seeds_stand_in_many_documents(spark):
+    """A copy with changed words is found as it is without them, whatever other documents hold its lines: of smaller ids, of
+    larger ones, or many."""
+    rng = np.random.default_rng(12)
+    rows, copies = [], {}
+
+    def add(doc, words):
+        rows.append((doc, " ".join(_words(rng, 30) + words + _words(rng, 30))))
+    for k, others in enumerate([1, 1, 6, 6]):
+        shared = _words(rng, 120)
+        for r in range(others):
+            for j in range(0, 120, 12):  # each line first and last seen elsewhere
+                add(1000 * k + 10 * r + j // 12, shared[j:j + 12])
+                add(1000 * k + 900 - 10 * r - j // 12, shared[j:j + 12])
+        edited = list(shared)
+        for j in range(6, 120, 12):
+            edited[j] = f"changed{k}x{j}"
+        for doc, words in ((1000 * k + 500, shared), (1000 * k + 501, edited)):
+            add(doc, words)
+            copies[doc] = set(range(30, 150))
+
+    def found(rows):
+        return {r.doc_id: {w for p in r.passages for w in range(p.start, p.stop)} for r in
+                chaining.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got, alone = found(rows), found([r for r in rows if r[0] in copies])
+    for doc, want in copies.items():
+        assert len(alone[doc]) >= 100 and alone[doc] <= got[doc] <= want
+    assert not any(words for doc, words in got.items() if doc not in copies)
+
+
+def test_passages_reach_the_ends_of_what_any_document_shares(spark):
+    """Exact copies of 50 words, their first and last words also in documents of smaller and of larger ids."""
+    rng = np.random.default_rng(13)
+    rows, want = [], {}
+    for k in range(20):
+        shared, size = _words(rng, 50), int(rng.integers(8, 25))
+        for doc in (100 * k + 50, 100 * k + 51):
+            head = _words(rng, 20)
+            rows.append((doc, " ".join(head + shared + _words(rng, 20))))
+            want[doc] = [(20, 70)]
+        for doc in (100 * k, 100 * k + 99):
+            rows.append((doc, " ".join(_words(rng, 20) + shared[2:size] + _words(rng, 20) + shared[-size:-2] + _words(rng, 20))))
+            want[doc] = []
+    got = {r.doc_id: [(p.start, p.stop) for p in r.passages] for r in
+           chaining.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
